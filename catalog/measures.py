@@ -5,9 +5,13 @@ The SQL takes the direct way: range joins, conditional distinct counts and self-
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.registry import query
 from catalog.standins import AS_OF, EVENT_PERIODS, HOLIDAYS, ORDER_PERIODS, with_inputs
+from opsgauge.fixed_values import LINES, LINES_FIRST_TIME_FIX, LINES_WITH_ACCESSORIES
 from opsgauge.functions.clock import DAY_US, HOUR_US
+from opsgauge.functions.ratio import round_even
 from opsgauge.plans import (
     alarm,
     backoffice,
@@ -352,10 +356,8 @@ GROUP BY period
     ),
 )
 def repeat_alarm(t):
-    from pyspark.sql import functions as F
-
     out = alarm.repeat_alarms(t("alarm_incidences"), EP)
-    return out.select("period", F.bround("repeat_alarm_pct", 9).alias("repeat_alarm_pct"))
+    return out.select("period", round_even(F.col("repeat_alarm_pct"), 9).alias("repeat_alarm_pct"))
 
 
 @query(
@@ -376,10 +378,8 @@ GROUP BY period
     ),
 )
 def guard_callouts(t):
-    from pyspark.sql import functions as F
-
     out = alarm.guard_callouts(t("guard_callouts"), EP)
-    return out.withColumn("under_40_min_pct", F.bround("under_40_min_pct", 9))
+    return out.withColumn("under_40_min_pct", round_even(F.col("under_40_min_pct"), 9))
 
 
 @query(
@@ -441,9 +441,6 @@ def closed_body(lines) -> str:
 """
 
 
-from opsgauge.fixed_values import LINES, LINES_FIRST_TIME_FIX, LINES_WITH_ACCESSORIES  # noqa: E402
-
-
 @query(
     "K17_closed_services",
     with_inputs(
@@ -1137,9 +1134,7 @@ def long_sql() -> str:
 
 @query("K42_report", long_sql())
 def report_long(t):
-    from pyspark.sql import functions as F
-
-    return report.report(parts_of(t)).withColumn("value", F.bround("value", 6))
+    return report.report(parts_of(t)).withColumn("value", round_even(F.col("value"), 6))
 
 
 @query(

@@ -22,7 +22,7 @@ EVENT_PERIODS = (
 ORDER_PERIODS = (
     Period("Week", "1998-03-02", "1998-03-08"),
     Period("Month", "1998-03-01", "1998-03-31"),
-    Period("Span", "1995-01-01", "2001-12-31"),
+    Period("Span", "1995-01-01", "2001-11-10"),
 )
 AS_OF = "2001-08-15"
 HOLIDAYS = (
@@ -68,7 +68,8 @@ SELECT CAST(s_suppkey AS STRING) AS employee_id,
 FROM {supplier}
 """,
     "contact_logs": """
-SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS installation_number,
+SELECT CASE WHEN event_id % 97 = 0 THEN NULL
+            ELSE CAST(user_id AS STRING) || '-' || CAST(event_id % 12 AS STRING) END AS installation_number,
        (event_id * 7919) % 1000003 AS comm_log_number, ts AS creation_date,
        ts AS creation_date_hour,
        CASE event_type WHEN 'click' THEN 'CS' WHEN 'view' THEN 'CUDE' WHEN 'signup' THEN 'CUSV'
@@ -369,12 +370,14 @@ class Inputs:
     """The test tables and the logical inputs over them, as Spark DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self._read = spark, sf_dir, {}
         for key, value in SETTINGS.items():
             spark.conf.set(key, value)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def sql(self, text: str) -> DataFrame:
         text = text.replace("{services}", SERVICES)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from opsgauge.functions.ratio import round_even
+
 SECOND_US = 1_000_000
 MINUTE_US = 60 * SECOND_US
 HOUR_US = 60 * MINUTE_US
@@ -18,7 +20,7 @@ DAY_FIRST = "dd/MM/yyyy HH:mm:ss"
 
 def parse_ts(c: Column, layout: str = ISO, strict: bool = False) -> Column:
     """Text to timestamp. Text that does not fit is null, or an error when strict."""
-    return F.to_timestamp(c, F.lit(layout)) if strict else F.try_to_timestamp(c, F.lit(layout))
+    return F.to_timestamp(c, layout) if strict else F.try_to_timestamp(c, F.lit(layout))
 
 
 def fmt_date(c: Column) -> Column:
@@ -48,7 +50,7 @@ def floor_div(number: Column, width: int) -> Column:
 
 def hours_between(start: Column, end: Column) -> Column:
     """Elapsed hours to two places, rounded half to even."""
-    return F.bround((micros(end) - micros(start)) / F.lit(float(HOUR_US)), 2)
+    return round_even((micros(end) - micros(start)) / F.lit(float(HOUR_US)))
 
 
 def days_floor(start: Column, end: Column) -> Column:

@@ -6,12 +6,18 @@ from pyspark.sql import Column, functions as F
 
 
 def round_even(c: Column, places: int = 2) -> Column:
-    return F.bround(c, places)
+    """Half-even rounding of the scaled value, the rule of array libraries.
+
+    Spark's bround rounds the printed decimal instead: it takes 0.545 for an exact tie and gives
+    0.54, where the stored number is just above the tie and rounds to 0.55.
+    """
+    scale = float(10**places)
+    return F.rint(c * scale) / scale
 
 
 def pct(part: Column, whole: Column, zero: float | None = None, places: int | None = 2) -> Column:
     """100 * part / whole. A zero or missing whole gives `zero`, null unless stated."""
     value = F.try_divide(part, whole) * 100
     if places is not None:
-        value = F.bround(value, places)
+        value = round_even(value, places)
     return value if zero is None else F.coalesce(value, F.lit(float(zero)))

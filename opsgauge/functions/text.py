@@ -7,6 +7,8 @@ from operator import or_
 
 from pyspark.sql import Column, functions as F
 
+from opsgauge.functions.ratio import round_even
+
 # The characters that count as white space at the ends of a text.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -56,4 +58,4 @@ def line_code(c: Column) -> Column:
 
 def as_percent_text(c: Column) -> Column:
     """12.5 -> "12.5%"."""
-    return F.concat(F.bround(c, 2).cast("string"), F.lit("%"))
+    return F.concat(round_even(c).cast("string"), F.lit("%"))

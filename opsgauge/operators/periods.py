@@ -93,14 +93,16 @@ def assign_period_table(df: DataFrame, col: str, periods: DataFrame) -> DataFram
 
 
 def period_frame(spark: SparkSession, periods: Sequence[Period]) -> DataFrame:
-    rows = [(p.label, date.fromisoformat(p.start), date.fromisoformat(p.end)) for p in periods]
-    return spark.createDataFrame(rows, "period string, start_date date, end_date date")
+    """The periods as a table."""
+    rows = ", ".join(f"(:l{i}, DATE '{p.start}', DATE '{p.end}')" for i, p in enumerate(periods))
+    labels = {f"l{i}": p.label for i, p in enumerate(periods)}
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(period, start_date, end_date)", args=labels)
 
 
 def complete(summary: DataFrame, periods: Sequence[Period], counts: Sequence[str]) -> DataFrame:
     """One row for every period; counts of a period without input are 0, other values null.
 
-    Both sides hold one row per period.
+    The summary is grouped by period, so what is broadcast has at most one row per period.
     """
     frame = period_frame(summary.sparkSession, periods).select("period")
-    return frame.join(summary, "period", "left").fillna(0, subset=list(counts))
+    return frame.join(F.broadcast(summary), "period", "left").fillna(0, subset=list(counts))
