@@ -424,7 +424,7 @@ def null_replacement(t):
     filled = clean.fill(t("tickets_closed"), "close_employee_id", "none")
     filled = clean.fill(filled, "fecha_desde_asignacion", V.NO_ASSIGNMENT_DAY)
     days = F.date_diff(F.to_date("fecha_desde_asignacion"), F.lit(V.NO_ASSIGNMENT_DAY).cast("date"))
-    return filled.select("ticker_number", "close_employee_id", days.alias("days_left"))
+    return filled.select("ticker_number", "close_employee_id", days.cast("bigint").alias("days_left"))
 
 
 # ---------------------------------------------------------------- joins
@@ -1031,7 +1031,7 @@ def side_by_side(t):
 )
 def strip(t):
     padded = F.concat(F.lit(" \t"), F.col("text"), F.lit("\n "))
-    return t.table("documents").select("doc_id", F.length(text.strip(padded)).alias("n"))
+    return t.table("documents").select("doc_id", F.length(text.strip(padded)).cast("bigint").alias("n"))
 
 
 @query(
@@ -1165,7 +1165,7 @@ def toward_zero(t):
 )
 def clip_low(t):
     joined = t.table("lineitem").join(t.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.select("l_orderkey", bizdays.clip_low(F.date_diff("l_shipdate", "o_orderdate")).alias("days"))
+    return joined.select("l_orderkey", bizdays.clip_low(F.date_diff("l_shipdate", "o_orderdate")).cast("bigint").alias("days"))
 
 
 @query(

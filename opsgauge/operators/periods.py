@@ -26,40 +26,52 @@ def _day(text: str, shift: int = 0) -> str:
     return (date.fromisoformat(text) + timedelta(days=shift)).isoformat()
 
 
-def _bound(dtype: T.DataType, text: str) -> Column:
-    """A literal of the column's own type, so that the comparison reaches the file scan."""
-    return F.lit(text).cast(dtype if not isinstance(dtype, T.StringType) else "string")
+def _text(value: str) -> str:
+    """A SQL text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def in_period(df: DataFrame, col: str, start: str, end: str, mode: str = "date") -> Column:
-    """Test that the value lies in [start, end].
+def _bound(dtype: T.DataType, day: str) -> str:
+    """A day as a literal of the column's own type, so that the comparison reaches the file scan."""
+    return f"CAST('{_day(day)}' AS {dtype.simpleString()})"
 
-    mode="date" takes the whole last day. mode="instant" reads the end as its midnight, so
-    for a timestamp only the first instant of the last day belongs to the period.
-    """
-    dtype, c = df.schema[col].dataType, F.col(col)
+
+def _within(dtype: T.DataType, col: str, start: str, end: str, mode: str) -> str:
     if mode not in ("date", "instant"):
         raise ValueError(f"unknown mode {mode!r}")
+    lower = f"`{col}` >= {_bound(dtype, start)}"
     if mode == "instant" or isinstance(dtype, T.DateType):
-        return (c >= _bound(dtype, start)) & (c <= _bound(dtype, end))
-    return (c >= _bound(dtype, start)) & (c < _bound(dtype, _day(end, 1)))
+        return f"{lower} AND `{col}` <= {_bound(dtype, end)}"
+    return f"{lower} AND `{col}` < {_bound(dtype, _day(end, 1))}"
 
 
-def in_lookback(df: DataFrame, col: str, end: str, days: int, closed: bool, mode: str = "date") -> Column:
-    """Test for the `days` before the period end; `closed` includes the first day."""
-    dtype, c = df.schema[col].dataType, F.col(col)
+def _within_days_before(dtype: T.DataType, col: str, end: str, days: int, closed: bool, mode: str) -> str:
     first = _day(end, -days)
     if closed:
-        return in_period(df, col, first, end, mode)
+        return _within(dtype, col, first, end, mode)
     # open bound: a day value must be later than the first day; an instant, than its midnight
     if mode == "date" or isinstance(dtype, T.DateType):
-        return in_period(df, col, _day(first, 1), end, mode)
-    return (c > _bound(dtype, first)) & (c <= _bound(dtype, end))
+        return _within(dtype, col, _day(first, 1), end, mode)
+    return f"`{col}` > {_bound(dtype, first)} AND `{col}` <= {_bound(dtype, end)}"
+
+
+def in_period(df: DataFrame, col: str, start: str, end: str, mode: str = "date") -> Column:
+    """Test that the value lies in [start, end].
+
+    mode="date" takes the whole last day. mode="instant" reads the end as its midnight, so
+    for a timestamp only the first instant of the last day belongs to the period.
+    """
+    return F.expr(_within(df.schema[col].dataType, col, start, end, mode))
+
+
+def in_lookback(df: DataFrame, col: str, end: str, days: int, closed: bool, mode: str = "date") -> Column:
+    """Test for the `days` before the period end; `closed` includes the first day."""
+    return F.expr(_within_days_before(df.schema[col].dataType, col, end, days, closed, mode))
 
 
-def _labelled(df: DataFrame, tests: Sequence[tuple[str, Column]], bounds: Column) -> DataFrame:
-    names = F.array(*[F.when(test, F.lit(label)) for label, test in tests])
-    return df.filter(bounds).withColumn("period", F.explode(names)).filter(F.col("period").isNotNull())
+def _labelled(df: DataFrame, tests: Sequence[tuple[str, str]], bounds: str) -> DataFrame:
+    names = ", ".join(f"CASE WHEN {test} THEN {_text(label)} END" for label, test in tests)
+    return df.filter(bounds).withColumn("period", F.expr(f"explode(array({names}))")).filter("period IS NOT NULL")
 
 
 def assign_periods(df: DataFrame, col: str, periods: Sequence[Period], mode: str = "date") -> DataFrame:
@@ -69,8 +81,9 @@ def assign_periods(df: DataFrame, col: str, periods: Sequence[Period], mode: str
     and row groups in the scan. A row in two overlapping periods appears twice.
     """
     lo, hi = min(p.start for p in periods), max(p.end for p in periods)
-    tests = [(p.label, in_period(df, col, p.start, p.end, mode)) for p in periods]
-    return _labelled(df, tests, in_period(df, col, lo, hi, mode))
+    dtype = df.schema[col].dataType
+    tests = [(p.label, _within(dtype, col, p.start, p.end, mode)) for p in periods]
+    return _labelled(df, tests, _within(dtype, col, lo, hi, mode))
 
 
 def assign_lookbacks(
@@ -78,8 +91,9 @@ def assign_lookbacks(
 ) -> DataFrame:
     """As assign_periods, with each period replaced by the `days` before its end."""
     lo, hi = min(_day(p.end, -days) for p in periods), max(p.end for p in periods)
-    tests = [(p.label, in_lookback(df, col, p.end, days, closed, mode)) for p in periods]
-    return _labelled(df, tests, in_period(df, col, lo, hi, mode))
+    dtype = df.schema[col].dataType
+    tests = [(p.label, _within_days_before(dtype, col, p.end, days, closed, mode)) for p in periods]
+    return _labelled(df, tests, _within(dtype, col, lo, hi, mode))
 
 
 def assign_period_table(df: DataFrame, col: str, periods: DataFrame) -> DataFrame:
@@ -94,9 +108,8 @@ def assign_period_table(df: DataFrame, col: str, periods: DataFrame) -> DataFram
 
 def period_frame(spark: SparkSession, periods: Sequence[Period]) -> DataFrame:
     """The periods as a table."""
-    rows = ", ".join(f"(:l{i}, DATE '{p.start}', DATE '{p.end}')" for i, p in enumerate(periods))
-    labels = {f"l{i}": p.label for i, p in enumerate(periods)}
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(period, start_date, end_date)", args=labels)
+    rows = ", ".join(f"({_text(p.label)}, DATE '{p.start}', DATE '{p.end}')" for p in periods)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(period, start_date, end_date)")
 
 
 def complete(summary: DataFrame, periods: Sequence[Period], counts: Sequence[str]) -> DataFrame:
