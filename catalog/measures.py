@@ -1076,14 +1076,18 @@ DEPLOYMENT = report.Deployment(
     contact_windows=WINDOWS,
 )
 EVENT_PARTS = {"incidences", "guards", "police", "repeat_alarms", "chats", "messages", "contacts", "care_line", "faq"}
+CALL_QUERIES = {
+    "service": "K01_queue_sla",
+    "service_ie": "K01_queue_sla_ie",
+    "alarm": "K03_alarm_call_sla",
+    "support": "K02_department_sla",
+}
 PART_QUERIES = {
+    "calls": tuple(CALL_QUERIES.values()),
     "incidences": ("K11_alarm_volume", "K12_alarm_response"),
-    "alarm_calls": ("K03_alarm_call_sla",),
     "guards": ("K14_guard_callouts",),
     "police": ("K15_police_callouts",),
     "repeat_alarms": ("K13_repeat_alarm",),
-    "service_calls": ("K01_queue_sla",),
-    "service_calls_ie": ("K01_queue_sla_ie",),
     "chats": ("K08_chat_sla",),
     "messages": ("K10_message_sla",),
     "escalations": ("K25_escalation_sla",),
@@ -1105,7 +1109,6 @@ PART_QUERIES = {
     "selfservice_agent": ("K37_closed_without_agent",),
     "backoffice": ("K20_backoffice_volume", "K21_sent_to_field"),
     "backoffice_backlog": ("K24_backlog_size",),
-    "support_calls": ("K02_department_sla",),
     "faq": ("K07_faq_adherence",),
 }
 PERIODS = {part: EP if part in EVENT_PARTS else OP for part in PART_QUERIES}
@@ -1121,9 +1124,11 @@ def long_sql() -> str:
 
     rows = []
     for row, kpi, area, region, part, column, unit in report.CATALOGUE:
-        body = next(
-            ORACLES[k] for k in PART_QUERIES[part] if f"AS {column}" in ORACLES[k] or f", {column}" in ORACLES[k]
-        )
+        keys = PART_QUERIES[part]
+        if part == "calls":
+            group = max((g for g in CALL_QUERIES if column.startswith(g)), key=len)
+            keys, column = (CALL_QUERIES[group],), column.removeprefix(f"{group}_")
+        body = next(ORACLES[k] for k in keys if f"AS {column}" in ORACLES[k] or f", {column}" in ORACLES[k])
         value = f"round_even(CAST({column} AS DOUBLE), 6)"
         rows.append(
             f"SELECT {row} AS row, '{kpi}' AS kpi_id, '{area}' AS area, '{region}' AS region, "

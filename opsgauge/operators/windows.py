@@ -121,8 +121,12 @@ def forward_counts(
     rows = spread.filter("_own")
 
     if reach > 1:
+        # the finest totals are taken from the rows, coarser ones from them
+        finest = base.groupBy(*keys, *extra, "_home").agg(F.sum(mark).alias("_n"))
         for name, cols in counts.items():
-            total = base.groupBy(*keys, *cols, "_home").agg(F.sum(mark).alias("_n"))
+            total = finest
+            if sorted(cols) != extra:
+                total = finest.groupBy(*keys, *cols, "_home").agg(F.sum("_n").alias("_n"))
             between = (
                 Window.partitionBy(*keys, *cols).orderBy("_home").rangeBetween(1, reach - 1)
             )
