@@ -13,7 +13,7 @@ def clean_headers(df: DataFrame, plain: bool = False) -> DataFrame:
     """Trim the column names; with `plain`, also turn symbols into single underscores."""
     names = [c.strip() for c in df.columns]
     if plain:
-        names = [re.sub(r"\W+", "_", n).strip("_").lower() for n in names]
+        names = [re.sub(r"[\W_]+", "_", n).strip("_").lower() for n in names]
     return df.toDF(*names)
 
 

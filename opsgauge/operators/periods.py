@@ -112,10 +112,17 @@ def period_frame(spark: SparkSession, periods: Sequence[Period]) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(period, start_date, end_date)")
 
 
-def complete(summary: DataFrame, periods: Sequence[Period], counts: Sequence[str]) -> DataFrame:
-    """One row for every period; counts of a period without input are 0, other values null.
+def beside(left: DataFrame, *summaries: DataFrame) -> DataFrame:
+    """Summaries put next to each other by period.
 
-    The summary is grouped by period, so what is broadcast has at most one row per period.
+    Each is grouped by period, so what is broadcast has at most one row per period.
     """
+    for summary in summaries:
+        left = left.join(F.broadcast(summary), "period", "left")
+    return left
+
+
+def complete(summary: DataFrame, periods: Sequence[Period], counts: Sequence[str]) -> DataFrame:
+    """One row for every period; counts of a period without input are 0, other values null."""
     frame = period_frame(summary.sparkSession, periods).select("period")
-    return frame.join(F.broadcast(summary), "period", "left").fillna(0, subset=list(counts))
+    return beside(frame, summary).fillna(0, subset=list(counts))

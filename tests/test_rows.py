@@ -219,3 +219,31 @@ def test_report_keeps_other_periods(spark, tmp_path, fmt, rows):
     report_table.write_report(week.withColumn("value", F.lit(5.0)), path, fmt)
     got = report_table.read_report(spark, path, fmt).select(*week.columns)
     assert rows(got) == rows(week.withColumn("value", F.lit(5.0)).unionByName(month))
+
+
+def test_ratio_of_the_first_year(spark):
+    from opsgauge.plans import calls
+
+    columns = "report_date date, report_year int, report_month int, calls_queue string, " + ", ".join(
+        f"{m} bigint" for m in calls.MEASURES
+    )
+    data = [
+        (date(2024, 12, 30), 2024, 12, "q", 10, 8, 4, 1, 2),
+        (date(2025, 1, 2), 2025, 1, "q", 10, 2, 2, 1, 0),
+        (date(2025, 1, 2), 2025, 1, "hidden", 99, 99, 99, 99, 99),
+        (date(2025, 1, 2), None, 1, "q", 99, 99, 99, 99, 99),
+        (date(2025, 1, 3), 2025, 1, "twice", 4, 4, 1, 0, 0),
+    ]
+    facts = spark.createDataFrame(data, columns)
+    queues = spark.createDataFrame(
+        [("q", "s", "d", "v", "m"), ("hidden", "s", "d", "v", None), ("twice", "s", "d", "v", "m"),
+         ("twice", "s", "d2", "v", "m")],
+        "queues string, skills string, departments string, media_type string, manager string",
+    )
+    span = [Period("P", "2024-12-29", "2025-01-04")]
+    whole = calls.queue_sla(facts, queues, span, ["q", "hidden"]).first()
+    first = calls.queue_sla(facts, queues, span, ["q", "hidden"], year_rule="first").first()
+    assert tuple(whole) == ("P", 10, 60.0, 20.0, 10.0)
+    assert tuple(first) == ("P", 10, 50.0, 25.0, 10.0)
+    assert tuple(calls.queue_sla(facts, queues, span, ["twice"], "first").first()) == ("P", 8, 25.0, 0.0, 0.0)
+    assert tuple(calls.department_sla(facts, queues, span, "d", "q").first()) == ("P", 4, 25.0, 0.0, 0.0)
