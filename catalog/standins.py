@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from opsgauge.operators.periods import Period
-from opsgauge.session import SETTINGS
+from opsgauge.session import apply_settings
 from opsgauge.sources.schemas import conform
 
 EVENT_PERIODS = (
@@ -371,8 +371,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._read = spark, sf_dir, {}
-        for key, value in SETTINGS.items():
-            spark.conf.set(key, value)
+        apply_settings(spark)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:

@@ -161,7 +161,7 @@ def _attach(rows: DataFrame, summary: DataFrame, keys: Sequence[str], null_safe:
 
 
 def attach_any(
-    df: DataFrame, keys: Sequence[str], spread_on: Sequence[str], slots: int = 64, **labels: Column
+    df: DataFrame, keys: Sequence[str], spread_on: Sequence[str], slots: int = 1024, **labels: Column
 ) -> DataFrame:
     """Give every row, for each label, whether any row of its key carries it (0/1).
 

@@ -17,6 +17,12 @@ SETTINGS = {
 }
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Put the settings on a running session."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: int | str | None = None, app: str = "opsgauge") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     cores = cores or os.environ.get("BENCH_CPUS", "8")

@@ -13,6 +13,8 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "opsgauge-tests")
+    session.conf.set("spark.sql.maxMetadataStringLength", 100000)
+    session.conf.set("spark.sql.debug.maxToStringFields", 1000)
     yield session
     session.stop()
 
