@@ -108,10 +108,10 @@ def report_rows(t):
 # ---------------------------------------------------------------- projections, cleaning, filters
 
 
-@query("P01_clean_headers", "SELECT * FROM nation")
+@query("P01_clean_headers", "SELECT * FROM customer")
 def clean_headers(t):
-    nation = t.table("nation")
-    return clean.clean_headers(nation.toDF(*[f" {c}\t" for c in nation.columns]))
+    customer = t.table("customer")
+    return clean.clean_headers(customer.toDF(*[f" {c}\t" for c in customer.columns]))
 
 
 @query(

@@ -1,9 +1,9 @@
 """The logical inputs, derived from the test tables.
 
 Each text is plain SQL that both Spark and DuckDB read, so the two sides of a comparison
-start from the same input. No row of the test tables is left out unless the input itself is
-about some of them (alarms are the error events). Nulls, padding and dirty codes are put into
-values, by the same expression on both sides.
+start from the same input. Every input keeps all rows of its table; only the staff list names
+some of the suppliers. Nulls, padding and dirty codes are put into values, by the same
+expression on both sides.
 """
 
 from __future__ import annotations

@@ -168,11 +168,15 @@ def attach_any(
     The rows of a key are spread over slots by a hash of `spread_on`; each slot is reduced to
     one row before the slots of a key meet. A null key counts as a key of its own.
     """
-    rows = df.withColumn("_slot", F.pmod(F.xxhash64(*spread_on), F.lit(slots)))
-    marks = [F.max(F.when(c, 1).otherwise(0)).alias(n) for n, c in labels.items()]
-    per_slot = rows.groupBy(*keys, "_slot").agg(*marks)
-    whole = per_slot.withColumns({n: F.max(n).over(Window.partitionBy(*keys)) for n in labels})
-    return _attach(rows, whole, keys, null_safe=True).drop("_slot")
+    marks = {f"_own_{n}": F.when(c, 1).otherwise(0) for n, c in labels.items()}
+    rows = df.withColumns({"_slot": F.pmod(F.xxhash64(*spread_on), F.lit(slots)), **marks})
+    per_slot = rows.groupBy(*keys, "_slot").agg(*[F.max(f"_own_{n}").alias(f"_any_{n}") for n in labels])
+    whole = per_slot.withColumns({f"_any_{n}": F.max(f"_any_{n}").over(Window.partitionBy(*keys)) for n in labels})
+    joined = _attach(rows, whole, keys, null_safe=True)
+    # the own mark adds nothing to the key's, but keeps both sides reading the same columns, so
+    # that an exchange below them is made once
+    found = [F.greatest(f"_own_{n}", f"_any_{n}").alias(n) for n in labels]
+    return joined.select(*df.columns, *found)
 
 
 def first_in_group(
