@@ -6,10 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from catalog.check import connect, differences
+from catalog.registry import ORACLES, QUERIES
 from opsgauge.plans.report import CATALOGUE
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -37,5 +36,10 @@ def test_report_has_every_measure_once():
     assert len({row[1] for row in CATALOGUE}) == 83
 
 
+def test_entry_holds_the_catalogue():
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
+
+
 def test_entry_gives_the_whole_report(spark):
     assert entry.entry(spark).count() == 83 * 3
