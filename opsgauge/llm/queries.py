@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from opsgauge.llm import warc
+from opsgauge.llm import chats, lines, urls, warc
 from opsgauge.llm.registry import query
+from opsgauge.llm.workspace import Workspace
 
 OP1_SQL = """
 WITH p AS (
@@ -25,3 +26,116 @@ FROM f
 def op1(spark, read):
     out = warc.archive_round_trip(spark, read("pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+c AS (
+  SELECT conv_id, COUNT(*) AS n_turns, list(struct_pack(r := role, x := text) ORDER BY turn, role, text) AS turns,
+         string_agg('<|im_start|>' || COALESCE(role, '') || chr(10) || COALESCE(text, '') || '<|im_end|>' || chr(10), ''
+                    ORDER BY turn, role, text) AS text
+  FROM t GROUP BY conv_id
+)
+SELECT conv_id, CAST(0 AS BIGINT) AS part, n_turns, text
+FROM c
+WHERE NOT EXISTS (
+  SELECT 1 FROM c AS d
+  WHERE d.turns[1] = c.turns[1] AND list_slice(d.turns, 1, c.n_turns) = c.turns
+    AND (d.n_turns > c.n_turns OR d.n_turns = c.n_turns AND d.conv_id < c.conv_id)
+)
+"""
+
+
+@query("op4_chat_snapshots", OP4_SQL)
+def op4(spark, read):
+    return chats.collapse_snapshots(read("conversations"))
+
+
+OP5_SQL = f"""
+WITH l AS (
+  SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
+  FROM documents
+), k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
+b AS (
+  SELECT source, key FROM k WHERE key <> '' GROUP BY source, key
+  HAVING COUNT(DISTINCT doc_id) >= {lines.LEAST_PAGES}
+     AND COUNT(DISTINCT doc_id) > {lines.RATIO} * (SELECT COUNT(*) FROM documents AS d WHERE d.source = k.source)
+)
+SELECT doc_id, ANY_VALUE(k.source) AS source, COUNT(*) AS n_lines, COUNT(b.key) AS n_dropped,
+       COALESCE(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE b.key IS NULL), '') AS text
+FROM k LEFT JOIN b ON b.source = k.source AND b.key = k.key
+GROUP BY doc_id
+"""
+
+
+@query("op5_line_dedup", OP5_SQL)
+def op5(spark, read):
+    out = lines.drop_boilerplate(read("documents"), Workspace(spark, "lines"), counts=("n_lines", "n_dropped"))
+    return out.select("doc_id", "source", "n_lines", "n_dropped", "text")
+
+
+RULES = (
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+)
+
+
+def _fitting(value) -> str:
+    longest = sorted(RULES, key=lambda r: -len(r.name))
+    cases = " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{value(r)}'"
+        for r in longest
+    )
+    return f"CASE {cases} END"
+
+
+def _order(k: int) -> str:
+    """One order of the models in SQL: each class's probability of a gram's last character."""
+    parts = []
+    for c in ("allow", "block"):
+        below = f"l.{c}_p" if k > 1 else f"{1.0 / urls.ALPHABET}"
+        parts.append(
+            f"CASE WHEN x.{c}_n > 0 THEN (t.{c} + x.{c}_t * {below}) / (x.{c}_n + x.{c}_t) ELSE {below} END AS {c}_p"
+        )
+    join = f"JOIN p{k - 1} AS l ON l.gram = right(t.gram, {k - 1})" if k > 1 else ""
+    sums = ", ".join(f"SUM({c}) AS {c}_n, COUNT(*) FILTER (WHERE {c} > 0) AS {c}_t" for c in ("allow", "block"))
+    return f"""
+t{k} AS (SELECT right(gram, {k}) AS gram, SUM(allow) AS allow, SUM(block) AS block FROM g GROUP BY 1),
+x{k} AS (SELECT left(gram, {k - 1}) AS context, {sums} FROM t{k} GROUP BY 1),
+p{k} AS (SELECT t.gram, {", ".join(parts)} FROM t{k} AS t JOIN x{k} AS x ON x.context = left(t.gram, {k - 1}) {join})"""
+
+
+OP7_SQL = f"""
+WITH a AS (
+  SELECT page_id, COALESCE(url, '') AS url,
+         CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages
+), b AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM a),
+c AS (
+  SELECT page_id, url, translate(raw_host, '{urls.UPPER}', '{urls.LOWER}') AS host,
+         regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path
+  FROM b
+), d AS (
+  SELECT *, {_fitting(lambda r: r.name)} AS rule, {_fitting(lambda r: r.verdict)} AS said,
+         repeat(chr(2), 3) || translate(url, '{urls.UPPER}', '{urls.LOWER}') || chr(3) AS padded
+  FROM c
+), e AS (SELECT page_id, said, unnest(list_transform(range(1, length(padded) - 2), lambda i: substr(padded, i, 4))) AS gram FROM d),
+g AS (SELECT gram, COUNT(*) FILTER (WHERE said = 'allow') AS allow, COUNT(*) FILTER (WHERE said = 'block') AS block FROM e GROUP BY gram),
+{",".join(_order(k) for k in range(1, urls.ORDER + 1))},
+s AS (
+  SELECT e.page_id, ANY_VALUE(e.said) AS said, AVG(ln(p.allow_p) - ln(p.block_p)) AS raw
+  FROM e JOIN p{urls.ORDER} AS p ON p.gram = e.gram GROUP BY e.page_id
+), m AS (SELECT COALESCE((AVG(raw) FILTER (WHERE said = 'allow') + AVG(raw) FILTER (WHERE said = 'block')) / 2, 0) AS m FROM s)
+SELECT d.page_id, host, path, rule,
+       COALESCE(d.said, CASE WHEN round(raw - m, 9) >= 0 THEN 'allow' ELSE 'block' END) AS verdict
+FROM d JOIN s ON s.page_id = d.page_id CROSS JOIN m
+"""
+
+
+@query("op7_url_filter", OP7_SQL)
+def op7(spark, read):
+    out = urls.filter_urls(read("pages"), RULES, Workspace(spark, "urls"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
