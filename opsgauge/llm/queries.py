@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from opsgauge.llm import chats, lines, urls, warc
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from opsgauge.llm import bpe, chats, lines, ngrams, quality, urls, warc
 from opsgauge.llm.registry import query
 from opsgauge.llm.workspace import Workspace
 
@@ -139,3 +142,29 @@ FROM d JOIN s ON s.page_id = d.page_id CROSS JOIN m
 def op7(spark, read):
     out = urls.filter_urls(read("pages"), RULES, Workspace(spark, "urls"))
     return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op3_quality")
+def op3(spark, read):
+    out = quality.classify(read("documents"), read("labels"))
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op9_bpe")
+def op9(spark, read):
+    out = bpe.encode_column(read("documents").select("doc_id", "text"), VOCABULARY)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op10_ngram_lm")
+def op10(spark, read):
+    out = ngrams.score_held_out(spark, read("documents").select("doc_id", "text"))
+    return out.select("doc_id", "held_out", *ngrams.SCORES)
