@@ -22,7 +22,7 @@ THRESHOLD = 0.3
 PER_CLASS = 2000
 LONGEST = 20_000
 DICTIONARY = 112_640
-CHUNK = 4096
+CHUNK = 2048
 LEVEL = 3
 
 
