@@ -300,8 +300,8 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int =
         "uri", "record_type", F.col("refers_to").cast("string").alias("refers_to"), "payload_digest", "payload",
     )
     manifest = work.table(write_archives(rows, f"{work.path}/archives"), "manifest")
-    # one archive per task: the manifest itself is a small table
-    spread = manifest.repartitionByRange("path")
+    # the manifest is small enough for one task, the archives are not
+    spread = manifest.repartition(4 * spark.sparkContext.defaultParallelism, "path")
     records = read_records(spread, with_payload=False)
     return records.select(
         F.expr("nullif(record_id, '')").cast("long").alias("page_id"),
