@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsgauge.llm import bpe, chats, lines, ngrams, quality, urls, warc
+from opsgauge.llm import bpe, chats, jaccard, lines, ngrams, quality, urls, warc
 from opsgauge.llm.registry import query
 from opsgauge.llm.workspace import Workspace
 
@@ -150,6 +150,31 @@ def op3(spark, read):
     return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' '))) AS shingles
+  FROM w WHERE len(words) > 0
+), t AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM t AS a JOIN t AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 80 * (a.n + b.n - COUNT(*))
+), r AS (SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, p.b FROM r JOIN p ON p.a = r.reached)
+SELECT w.doc_id, CAST(COALESCE(len(s.shingles), 0) AS BIGINT) AS n_shingles, MIN(reached) AS component_id
+FROM w LEFT JOIN s ON s.doc_id = w.doc_id JOIN r ON r.doc_id = w.doc_id
+GROUP BY w.doc_id, s.shingles
+"""
+
+
+@query("op8_ngram_jaccard", OP8_SQL)
+def op8(spark, read):
+    return jaccard.components(spark, read("documents"))
+
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
