@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsgauge.llm import bpe, chats, jaccard, lines, ngrams, quality, urls, warc
+from opsgauge.llm import bpe, chats, jaccard, lines, ngrams, quality, tiling, urls, warc
 from opsgauge.llm.registry import query
 from opsgauge.llm.workspace import Workspace
 
@@ -193,3 +193,8 @@ def op9(spark, read):
 def op10(spark, read):
     out = ngrams.score_held_out(spark, read("documents").select("doc_id", "text"))
     return out.select("doc_id", "held_out", *ngrams.SCORES)
+
+
+@query("op6_decontaminate")
+def op6(spark, read):
+    return tiling.judged(spark, read("documents"), read("benchmark"))

@@ -7,8 +7,10 @@ the stage it was in. The folder is the one the cluster names in ``spark.checkpoi
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +25,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package where they may not have it. Spark hands the file out."""
+    context = spark.sparkContext
+    if getattr(context, "_opsgauge_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="opsgauge-code-")
+    shutil.copytree(package, f"{folder}/lib/{package.name}", ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/{os.path.basename(folder)}", "zip", f"{folder}/lib"))
+    context._opsgauge_shipped = True
+
+
 class Workspace:
     """A new folder for one run of an operator."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship_package(spark)
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
