@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsgauge.llm import bpe, chats, jaccard, lines, ngrams, quality, tiling, urls, warc
+from opsgauge.llm import bpe, chats, hnsw, jaccard, lines, ngrams, quality, tiling, urls, warc
 from opsgauge.llm.registry import query
 from opsgauge.llm.workspace import Workspace
 
@@ -31,6 +31,31 @@ def op1(spark, read):
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+OP2_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CASE WHEN embedding IS NULL OR len(embedding) = 0 OR list_count(embedding) < len(embedding)
+                        OR len(list_filter(embedding, lambda x: NOT isfinite(x))) > 0
+                        OR len(list_filter(embedding, lambda x: x <> 0)) = 0 THEN NULL
+                      ELSE CAST(embedding AS DOUBLE[]) END AS e
+  FROM embeddings
+), n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v WHERE e IS NOT NULL),
+p AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM n AS a JOIN n AS b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.95
+), r AS (SELECT vec_id, vec_id AS reached FROM v UNION SELECT r.vec_id, p.b FROM r JOIN p ON p.a = r.reached),
+c AS (SELECT vec_id, MIN(reached) AS component_id FROM r GROUP BY vec_id),
+l AS (SELECT a, COUNT(*) AS n FROM p GROUP BY a)
+SELECT v.vec_id, COALESCE(l.n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN c ON c.vec_id = v.vec_id LEFT JOIN l ON l.a = v.vec_id
+"""
+
+
+@query("op2_embedding_near_dups", OP2_SQL)
+def op2(spark, read):
+    return hnsw.near_vectors(spark, read("embeddings"))[0]
+
+
 OP4_SQL = """
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 c AS (
