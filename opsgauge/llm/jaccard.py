@@ -1,15 +1,16 @@
 """Documents joined by the Jaccard similarity of their word shingles, through a token-group matrix.
 
 1. Equal shingle sets are one class; one text of each goes on.
-2. Two sets of similarity t share a token among the first n - ceil(t n) + 1 tokens of each, in any
-   one order of all tokens. Tokens that occur in many texts come last in that order, so few texts
-   have a token that another text also has in its beginning; only they go on.
+2. Two sets of similarity t share k tokens among the first n - ceil(t n) + k tokens of each, in any
+   one order of all tokens; k is about a tenth of the size. Tokens that occur in many texts come last
+   in that order. Texts of whose beginning fewer than k tokens occur in another text's go no further.
 3. Each token's texts are compared with the one whose tokens are shared most. That finds most links
    of a group of near copies with one comparison a text, and none is between all of them.
 4. Texts are partitioned into groups of at most about ``GROUP`` similar ones (of one component so
    far, or with one rare token). The matrix says which groups have a token; with it each text finds
-   groups of other components. A group's token union bounds the overlap with any of its members; a
-   group is opened, and its members compared, only if the bound reaches what the text needs.
+   groups of other components that share k tokens of its beginning. A group's token union bounds the
+   overlap with any of its members; a group is opened, and its members compared, only if the bound
+   reaches what the text needs.
 5. Components of all links.
 
 No pair of texts that could be linked is skipped but those that are in one component already.
@@ -42,6 +43,16 @@ def needed(n: np.ndarray | int, percent: int = PERCENT):
     return (percent * n + 99) // 100
 
 
+def extra(n):
+    """k: how many shared tokens the beginning of a set of n tokens is made to hold."""
+    return 1 + n // 10
+
+
+def least_shared(n: Column, percent: int) -> Column:
+    """The smallest k of all sets that a set of n tokens can be similar to."""
+    return 1 + F.floor(F.floor((percent * n + 99) / 100) / 10)
+
+
 def similar(overlap: Column, n: Column, m: Column, percent: int = PERCENT) -> Column:
     return 100 * overlap >= percent * (n + m - overlap)
 
@@ -116,7 +127,7 @@ def prefix_postings(docs: DataFrame, width: int, percent: int, frequent: tuple[n
                 if not len(tokens) or (key := hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()) in seen:
                     continue
                 seen.add(key)
-                take = len(tokens) - needed(len(tokens), percent) + 1
+                take = min(len(tokens), len(tokens) - needed(len(tokens), percent) + extra(len(tokens)))
                 if len(common):
                     at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
                     late = np.where(common[at] == tokens, places[at], 0)
@@ -200,7 +211,8 @@ def opened_links(postings: DataFrame, sets: DataFrame, percent: int, work: Works
     single = F.col("size") == 1
     smaller = (F.col("size") < F.col("gs")) | ((F.col("size") == F.col("gs")) & (single | (F.col("comp") < F.col("gc"))))
     queries = postings.join(matrix, "token").where(F.when(F.col("g") == F.col("h"), single).otherwise(smaller))
-    queries = work.table(queries.select(F.col("id").alias("q"), F.col("comp").alias("qc"), "h").distinct(), "queries")
+    queries = queries.groupBy(F.col("id").alias("q"), F.col("comp").alias("qc"), "n", "h").agg(F.count(F.lit(1)).alias("k"))
+    queries = work.table(queries.where(F.col("k") >= least_shared(F.col("n"), percent)).select("q", "qc", "h"), "queries")
     groups = members.groupBy(F.col("g").alias("h")).agg(
         F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"),
         F.collect_list(F.struct("id", "comp", "tokens")).alias("members"),
@@ -242,8 +254,12 @@ def components(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percent
     # an id with several texts has several sets; the class of each is that of its size and id
     postings = of_docs.join(members, "id").select("token", F.col("rep").alias("id"), "n").distinct()
     postings = work.table(postings, "of-classes")
-    several = work.table(postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token"), "several")
-    postings = work.table(postings.join(several, "token", "left_semi"), "postings")
+    for turn in range(3):
+        several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
+        postings = postings.join(work.table(several, f"several-{turn}"), "token", "left_semi")
+        enough = postings.groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
+        enough = enough.where(F.col("k") >= least_shared(F.col("n"), percent)).select("id")
+        postings = work.table(postings.join(work.table(enough, f"enough-{turn}"), "id", "left_semi"), f"postings-{turn}")
 
     wanted = work.table(postings.select("id").distinct(), "wanted")
     sets = work.table(stored_sets(identified.join(wanted, "id", "left_semi"), width), "sets")
