@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -21,9 +22,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-NO_MERGE = 1 << 30
+BITS = 20
+MASK = (1 << BITS) - 1
+NO_MERGE = 1 << 62
 SHORT = 256
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 
 
 def byte_letters() -> list[str]:
@@ -68,6 +71,8 @@ class WordBpe:
         if spec["decoder"] is not None or not splits[0]["invert"] or model["unk_token"] is not None:
             raise ValueError("not a vocabulary of the supported kind")
         vocab = model["vocab"]
+        if max(vocab.values()) > MASK:
+            raise ValueError("too many tokens")
         self.pattern = regex.compile(splits[0]["pattern"]["Regex"], regex.V1)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
@@ -76,52 +81,52 @@ class WordBpe:
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + model["end_of_word_suffix"]] for c in letters]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # a merge is its rank and the new id in one number, so the least number is the least rank
+        self.merges = {vocab[a] << BITS | vocab[b]: rank << BITS | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.words = Words(self._of_word)
 
-    def rank(self, a: int, b: int) -> int:
-        found = self.merges.get((a, b))
-        return NO_MERGE if found is None else found[0]
-
     def merge_word(self, data: bytes) -> list[int]:
         """The ids of one word, by the contiguous rank array."""
-        ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
+        ids = [self.inner[b] for b in data]
+        ids[-1] = self.last[data[-1]]
         if len(ids) > SHORT:
             return self._merge_long(ids)
-        ranks = [self.rank(a, b) for a, b in zip(ids, ids[1:])]
+        find = self.merges.get
+        ranks = [find(a << BITS | b, NO_MERGE) for a, b in zip(ids, ids[1:])]
         while ranks and (least := min(ranks)) < NO_MERGE:
             i = ranks.index(least)
-            ids[i] = self.merges[ids[i], ids[i + 1]][1]
+            ids[i] = least & MASK
             del ids[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = self.rank(ids[i - 1], ids[i])
+                ranks[i - 1] = find(ids[i - 1] << BITS | ids[i], NO_MERGE)
             if i < len(ranks):
-                ranks[i] = self.rank(ids[i], ids[i + 1])
+                ranks[i] = find(ids[i] << BITS | ids[i + 1], NO_MERGE)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same for long words: least rank first, leftmost first, by a heap."""
+        find = self.merges.get
         after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := self.rank(a, b)) < NO_MERGE]
+        heap = [(m, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (m := find(a << BITS | b)) is not None]
         heapq.heapify(heap)
         gone = -1
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            merge, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j] = self.merges[a, b][1], gone
+            ids[i], ids[j] = merge & MASK, gone
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
             for x, y in ((before[i], i), (i, k)):
-                if x >= 0 and y >= 0 and (r := self.rank(ids[x], ids[y])) < NO_MERGE:
-                    heapq.heappush(heap, (r, x, ids[x], ids[y]))
+                if x >= 0 and y >= 0 and (m := find(ids[x] << BITS | ids[y])) is not None:
+                    heapq.heappush(heap, (m, x, ids[x], ids[y]))
         return [x for x in ids if x != gone]
 
     def _of_word(self, word: str) -> tuple[bytes, str]:
         ids = self.merge_word(word.encode())
-        return np.array(ids, np.int32).tobytes(), self.decode(ids)
+        return array("i", ids).tobytes(), self.decode(ids)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by blanks, special ones included."""
