@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from catalog.standins import AS_OF, EVENT_PERIODS, HOLIDAYS, ORDER_PERIODS, with_inputs
 from opsgauge.fixed_values import LINES, LINES_FIRST_TIME_FIX, LINES_WITH_ACCESSORIES
 from opsgauge.functions.clock import DAY_US, HOUR_US
@@ -25,6 +25,7 @@ from opsgauge.plans import (
     selfservice,
     service,
 )
+from opsgauge.sources.schemas import conform
 
 OP, EP = ORDER_PERIODS, EVENT_PERIODS
 UK_QUEUES = tuple(f"NATION_{n}" for n in range(18))
@@ -293,6 +294,39 @@ def message_sla(t):
     return digital.message_sla(t("messages"), EP, MESSAGE_QUEUES, ROUTING_QUEUES)
 
 
+# the same over messages stamped as text, on a twelve-hour clock without halves of the day
+@query(
+    "K10_message_sla_text",
+    with_inputs(
+        "messages",
+        f"""
+, stamped AS (
+    SELECT * REPLACE (date_trunc('day', ini_resource_time)
+                      + to_seconds(CAST((CASE WHEN hour(ini_resource_time) % 12 = 0 THEN 12 ELSE hour(ini_resource_time) % 12 END % 12) * 3600
+                                   + minute(ini_resource_time) * 60 + second(ini_resource_time) AS BIGINT)) AS ini_resource_time)
+    FROM messages
+)
+SELECT period, COUNT(DISTINCT ixn_id) AS messages,
+       {pct(f"COUNT(CASE WHEN queue_workbin IN {listed(ROUTING_QUEUES)} AND is_first = 1 "
+            "AND mediation_time - queue_workbin_duration <= 180 THEN 1 END)",
+            distinct("ixn_id", f"queue_workbin IN {listed(ROUTING_QUEUES)}"), zero=True)} AS within_180_pct
+FROM periods LEFT JOIN (
+    SELECT m.*, CASE WHEN ini_resource_time = (
+        SELECT MIN(ini_resource_time) FROM stamped o WHERE o.ixn_id = m.ixn_id
+          AND o.ini_resource_time >= TIMESTAMP '2023-12-25') THEN 1 ELSE 0 END AS is_first
+    FROM stamped m
+) m ON {in_period("ini_resource_time")} AND queue_workbin IN {listed(MESSAGE_QUEUES)}
+GROUP BY period
+""",
+        EP,
+    ),
+)
+def message_sla_text(t):
+    stamp = F.date_format("ini_resource_time", "yyyy-MMM-dd hh:mm:ss")
+    texts = conform(t.raw("messages").withColumn("ini_resource_time", stamp), "messages")
+    return digital.message_sla(texts, EP, MESSAGE_QUEUES, ROUTING_QUEUES, lookback_days=7)
+
+
 # ---------------------------------------------------------------- alarm
 
 CLEAN = """
@@ -382,6 +416,14 @@ def guard_callouts(t):
     return out.withColumn("under_40_min_pct", round_even(F.col("under_40_min_pct"), 9))
 
 
+# days first, without seconds, and some that cannot be read
+@query("K14_guard_callouts_other_layout", ORACLES["K14_guard_callouts"])
+def guard_callouts_other_layout(t):
+    shorter = F.regexp_replace("callout_created_at", ":00$", "")
+    out = alarm.guard_callouts(conform(t.raw("guard_callouts").withColumn("callout_created_at", shorter), "guard_callouts"), EP)
+    return out.withColumn("under_40_min_pct", round_even(F.col("under_40_min_pct"), 9))
+
+
 @query(
     "K15_police_callouts",
     with_inputs(
@@ -513,6 +555,21 @@ def field_retention(t):
     return field.field_retention(t("field_retention"), OP, TECHNICIANS)
 
 
+# closing times as text, those of every day of the month ending in 7 unreadable
+@query(
+    "K19_field_retention_text",
+    ORACLES["K19_field_retention"].replace(
+        "SELECT * FROM field_retention JOIN periods",
+        "SELECT * FROM (SELECT * FROM field_retention WHERE day(closing_finishing_date) % 10 <> 7) field_retention JOIN periods",
+    ),
+)
+def field_retention_text(t):
+    closed = F.col("closing_finishing_date")
+    text = F.when(F.dayofmonth(closed) % 10 == 7, "not known").otherwise(F.date_format(closed, "yyyy-MM-dd HH:mm:ss"))
+    texts = conform(t.raw("field_retention").withColumn("closing_finishing_date", text), "field_retention")
+    return field.field_retention(texts, OP, TECHNICIANS)
+
+
 @query(
     "K39_first_time_fix",
     with_inputs(

@@ -26,8 +26,8 @@ ORDER_PERIODS = (
 )
 AS_OF = "2001-08-15"
 HOLIDAYS = (
-    "1996-01-01", "1996-12-25", "1996-12-26", "1998-01-01", "1998-03-06", "1998-03-07",
-    "1998-12-25", "2000-05-29",
+    "1994-12-26", "1995-05-29", "1996-01-01", "1996-12-25", "1996-12-26", "1998-01-01", "1998-03-06", "1998-03-07",
+    "1998-12-25", "2000-05-29", "2001-12-25", "2002-01-01",
 )
 
 # lineitem with its order: services, tickets and visits

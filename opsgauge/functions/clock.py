@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 from opsgauge.functions.ratio import round_even
@@ -16,6 +18,8 @@ ISO = "yyyy-MM-dd HH:mm:ss"
 MONTH_NAME_12H = "yyyy-MMM-dd hh:mm:ss"
 DAY_FIRST_12H = "dd/MM/yyyy hh:mm:ss"
 DAY_FIRST = "dd/MM/yyyy HH:mm:ss"
+DAY_FIRST_MINUTES = "dd/MM/yyyy HH:mm"
+DAY_FIRST_DAY = "dd/MM/yyyy"
 
 
 def parse_ts(c: Column, layout: str = ISO, strict: bool = False) -> Column:
@@ -23,6 +27,17 @@ def parse_ts(c: Column, layout: str = ISO, strict: bool = False) -> Column:
     return F.to_timestamp(c, layout) if strict else F.try_to_timestamp(c, F.lit(layout))
 
 
+def parse_any(c: Column, layouts: Sequence[str], strict: bool = False) -> Column:
+    """Text to timestamp by the first layout that fits, or as a plain timestamp text. Text that fits
+    none is null, or an error when strict."""
+    tried = [parse_ts(c, layout) for layout in layouts]
+    found = F.coalesce(*tried, c.try_cast("timestamp"))
+    if not strict:
+        return found
+    complaint = F.raise_error(F.concat(F.lit("not a time: "), c))
+    return F.coalesce(found, F.when(c.isNotNull(), complaint.cast("timestamp")))
+
+
 def fmt_date(c: Column) -> Column:
     """The day as yyyy-MM-dd text."""
     return F.date_format(c, "yyyy-MM-dd")

@@ -28,12 +28,9 @@ def distinct_counts(
     """
     c = F.col(key) if isinstance(key, str) else key
     marks = {n: F.max(F.when(t, 1).otherwise(0)) if t is not None else F.lit(1) for n, t in conditions.items()}
-    per_key = (
-        df.withColumn("_key", c)
-        .filter(F.col("_key").isNotNull())
-        .groupBy(*by, "_key")
-        .agg(F.count(F.lit(1)).alias("_rows"), *[m.alias(n) for n, m in marks.items() if conditions[n] is not None])
-    )
+    keyed = df.withColumn("_key", c).filter(F.col("_key").isNotNull())
+    tested = [m.alias(n) for n, m in marks.items() if conditions[n] is not None]
+    per_key = keyed.groupBy(*by, "_key").agg(*tested) if tested else keyed.select(*by, "_key").distinct()
     sums = [
         (F.count(F.lit(1)) if t is None else F.coalesce(F.sum(n), F.lit(0))).alias(n)
         for n, t in conditions.items()

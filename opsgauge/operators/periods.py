@@ -96,12 +96,27 @@ def assign_lookbacks(
     return _labelled(df, tests, _within(dtype, col, lo, hi, mode))
 
 
+def since_and_until(df: DataFrame, col: str, periods: Sequence[Period], days: int | None = None) -> DataFrame:
+    """Rows up to the last period's end and, with `days`, from that many days before the first one's
+    start; missing times are left out."""
+    dtype = df.schema[col].dataType
+    df = df.filter(f"`{col}` < {_bound(dtype, _day(max(p.end for p in periods), 1))}")
+    if days is not None:
+        df = df.filter(f"`{col}` >= {_bound(dtype, _day(min(p.start for p in periods), -days))}")
+    return df
+
+
 def assign_period_table(df: DataFrame, col: str, periods: DataFrame) -> DataFrame:
     """Membership when the periods are a table (period, start_date, end_date) of any length.
 
     Each period is spread into its days, which turns the range test into an equi-join on the
-    day; Spark picks broadcast or shuffle from the measured size of the calendar.
+    day; Spark picks broadcast or shuffle from the measured size of the calendar. The first and
+    the last day are scalar subqueries in the column's own type, so they reach the file scan.
     """
+    dtype = df.schema[col].dataType
+    ends = periods.agg(F.min("start_date").alias("lo"), F.date_add(F.max("end_date"), 1).alias("hi"))
+    lo, hi = (ends.select(F.col(c).cast(dtype)).scalar() for c in ("lo", "hi"))
+    df = df.filter((F.col(col) >= lo) & (F.col(col) < hi))
     days = periods.select("period", F.explode(F.sequence("start_date", "end_date")).alias("_day"))
     return df.join(days, F.to_date(df[col]) == days["_day"]).drop("_day")
 

@@ -5,8 +5,11 @@ Column names are the plain form of the source headers: symbols become single und
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from opsgauge.functions.clock import DAY_FIRST, DAY_FIRST_12H, DAY_FIRST_DAY, DAY_FIRST_MINUTES, MONTH_NAME_12H, parse_any
 from opsgauge.operators.clean import clean_headers
 
 # Column names and types of the logical inputs.
@@ -45,7 +48,7 @@ SCHEMAS = {
         "country string, panel string, tm_attended int"
     ),
     "guard_callouts": (
-        "callout_id string, callout_created_at string, responder_dispatch_completed boolean, "
+        "callout_id string, callout_created_at timestamp, responder_dispatch_completed boolean, "
         "avg_true_resp_time double"
     ),
     "police": "incidence_creation_date date, country string, total_incidences_with_police_net double",
@@ -117,6 +120,25 @@ SCHEMAS = {
 # Source headers whose plain form is a reserved word.
 OTHER_NAMES = {"from": "caller"}
 
+# The layouts of times that sources keep as text.
+LAYOUTS = {
+    "messages.ini_resource_time": (MONTH_NAME_12H,),
+    "contact_logs.creation_date_hour": (DAY_FIRST_12H,),
+    "guard_callouts.callout_created_at": (DAY_FIRST, DAY_FIRST_MINUTES, DAY_FIRST_DAY),
+}
+
+# Times whose unreadable values count as missing; elsewhere they are an error.
+COERCED = (
+    "guard_callouts.callout_created_at",
+    "field_retention.closing_finishing_date",
+    "mt_closed.cancellation_datetime",
+    "mt_closed.incidence_creation_datetime",
+    "field_backlog.audit_insert_timestamp",
+    "installation_snapshot.audit_insert_timestamp",
+)
+
+Layouts = Mapping[str, Sequence[str]]
+
 MOMENTS = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -124,11 +146,40 @@ def schema_of(name: str) -> T.StructType:
     return T.StructType.fromDDL(SCHEMAS[name])
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
+def text_moment(name: str, field: T.StructField, layouts: Layouts | None = None) -> Column:
+    """A time kept as text: by the caller's layouts or the source's own, else as plain text; not
+    readable is null or an error, as the source is declared."""
+    key = f"{name}.{field.name}"
+    parsed = parse_any(F.col(field.name), {**LAYOUTS, **(layouts or {})}.get(key, ()), strict=key not in COERCED)
+    return parsed.cast(field.dataType)
+
+
+def lost_values(df: DataFrame, name: str, layouts: Layouts | None = None) -> DataFrame:
+    """(input, column, lost): how many texts of each time that may be coerced cannot be read."""
+    plain = clean_headers(df, plain=True).withColumnsRenamed(OTHER_NAMES)
+    texts = [
+        f for f in schema_of(name)
+        if f"{name}.{f.name}" in COERCED and isinstance(plain.schema[f.name].dataType, T.StringType)
+    ]
+    counts = [
+        F.struct(
+            F.lit(name).alias("input"),
+            F.lit(f.name).alias("column"),
+            F.count_if(F.col(f.name).isNotNull() & text_moment(name, f, layouts).isNull()).alias("lost"),
+        )
+        for f in texts
+    ]
+    if not counts:
+        return df.sparkSession.createDataFrame([], "input string, column string, lost long")
+    return plain.agg(F.array(*counts).alias("all")).selectExpr("inline(all)")
+
+
+def conform(df: DataFrame, name: str, layouts: Layouts | None = None) -> DataFrame:
     """Bring a table to its declared columns and types; a missing column is an error.
 
     Dates and timestamps stay as they are stored, whatever mix of them is declared: period
     tests accept each of them, and a cast would keep the test from reaching the file scan.
+    Texts in their place are parsed; `layouts` gives, by "input.column", the layouts to try.
     """
     plain = clean_headers(df, plain=True).withColumnsRenamed(OTHER_NAMES)
     schema = schema_of(name)
@@ -140,6 +191,8 @@ def conform(df: DataFrame, name: str) -> DataFrame:
         have = plain.schema[field.name].dataType
         same = have == field.dataType or (isinstance(have, MOMENTS) and isinstance(field.dataType, MOMENTS))
         c = F.col(field.name)
+        if isinstance(have, T.StringType) and isinstance(field.dataType, MOMENTS):
+            return text_moment(name, field, layouts).alias(field.name)
         return c if same else c.cast(field.dataType).alias(field.name)
 
     return plain.select(*[column(f) for f in schema])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.measures import AS_OF, DEPLOYMENT, PERIODS
 from catalog.standins import Inputs
+from opsgauge.fixed_values import HOLIDAYS, HOLIDAYS_WITH_NEXT_YEAR
 from opsgauge.functions.clock import DAY_US, HOUR_US
 from opsgauge.operators.periods import Period
 from opsgauge.plans import alarm, backoffice, care, contacts, digital, field, onboarding, report, selfservice, service
@@ -139,7 +140,7 @@ def test_cancellation_response_days(spark):
         spark, "tickets_open", *[{"ticker_number": str(n), "pais": "IRELAND" if n > 6 else "UK"} for n in range(1, 9)],
         opening_date=DAY,
     )
-    got = only(care.cancellation_response(opened, closed, [WEEK]))
+    got = only(care.cancellation_response(opened, closed, [WEEK], HOLIDAYS_WITH_NEXT_YEAR))
     assert (got["opened"], got["closed"], got["opened_ie"]) == (8, 4, 2)
     assert (got["response_pct"], got["response_pct_ie"]) == (50.0, 50.0)
 
@@ -160,7 +161,7 @@ def test_onboarding_counts_each_waiting_time(spark):
         {"installation_number": "a", "installation_date": friday - timedelta(days=30)},
         {"installation_number": "b", "installation_date": NOON + timedelta(days=3)},
     ]
-    got = only(onboarding.onboarding_speed(table(spark, "onboarding", *rows, min_comp_attempt_date=NOON), [WEEK]))
+    got = only(onboarding.onboarding_speed(table(spark, "onboarding", *rows, min_comp_attempt_date=NOON), [WEEK], HOLIDAYS))
     assert got == {"period": "Week", "installations": 3, "under_5_days_pct": 66.67}
 
 
