@@ -4,10 +4,10 @@
 2. Two sets of similarity t share k tokens among the first n - ceil(t n) + k tokens of each, in any
    one order of all tokens; k is about a tenth of the size. Tokens that occur in many texts come last
    in that order. Texts of whose beginning fewer than k tokens occur in another text's go no further.
-3. Each token's texts are compared with the one whose tokens are shared most. That finds most links
-   of a group of near copies with one comparison a text, and none is between all of them.
-4. Texts are partitioned into groups of at most about ``GROUP`` similar ones (of one component so
-   far, or with one rare token). The matrix says which groups have a token; with it each text finds
+3. Each token's texts are compared with one centre: the one whose tokens are shared most, then the
+   ones that have most links. That joins most of a group of near copies with a few comparisons a text.
+4. Texts are partitioned into groups of similar ones (of one component so far, or with one token that
+   many share), of about ``GROUP_TOKENS`` tokens at most. The matrix says which groups have a token; with it each text finds
    groups of other components that share k tokens of its beginning. A group's token union bounds the
    overlap with any of its members; a group is opened, and its members compared, only if the bound
    reaches what the text needs.
@@ -32,7 +32,8 @@ from opsgauge.llm.workspace import Workspace
 
 WIDTH = 5
 PERCENT = 80
-GROUP = 128
+GROUP_TOKENS = 1 << 15
+STAR_TURNS = 3
 FREQUENT = 1 << 16
 LEAST_FREQUENT = 16
 GATHER = 1 << 21
@@ -175,30 +176,46 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(similar(overlap("ta", "tb"), F.size("ta"), F.size("tb"), percent)).select("a", "b")
 
 
-def star_pairs(postings: DataFrame, percent: int, work: Workspace) -> DataFrame:
-    """(a, b): each token's texts with its centre, the text whose tokens most other texts have."""
-    lists = work.table(postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")), "lists")
-    weights = postings.join(lists, "token").groupBy("id").agg(F.avg("k").alias("w"))
-    weighted = postings.join(weights, "id")
+def star_pairs(postings: DataFrame, weights: DataFrame, percent: int, work: Workspace, turn: int) -> DataFrame:
+    """(a, b): each token's texts with its centre, the text of the largest weight (id, w)."""
+    weighted = postings.join(weights, "id", "left")
     centres = weighted.groupBy("token").agg(F.max(F.struct("w", "id", "n")).alias("c"))
-    centres = work.table(centres.select("token", F.col("c.id").alias("b"), F.col("c.n").alias("m")), "centres")
+    centres = work.table(centres.select("token", F.col("c.id").alias("b"), F.col("c.n").alias("m")), f"centres-{turn}")
     pairs = postings.join(centres, "token").where((F.col("id") != F.col("b")) & sizes_fit(F.col("n"), F.col("m"), percent))
     return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
+def star_links(postings: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """Links (a, b) that comparisons with centres find: first with texts whose tokens most others have,
+    then twice with those that have most links so far."""
+    lists = work.table(postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")), "lists")
+    weights = postings.join(lists, "token").groupBy("id").agg(F.avg("k").alias("w"))
+    done = links = None
+    for turn in range(STAR_TURNS):
+        pairs = star_pairs(postings, weights, percent, work, turn)
+        if done is not None:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = work.table(pairs, f"star-pairs-{turn}")
+        found = work.table(compared(pairs, sets, percent), f"star-links-{turn}")
+        done, links = (pairs, found) if done is None else (done.union(pairs), links.union(found))
+        ends = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id")))
+        weights = ends.groupBy("id").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    return links
+
+
 def grouped(postings: DataFrame, sizes: DataFrame, work: Workspace) -> DataFrame:
     """(token, id, n, comp, size, g): postings of tokens that more than one component has, with the
     component's size and the text's group."""
     spread = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("x"), F.max("comp").alias("y"))
     mixed = work.table(spread.where("x <> y").select("token", "k"), "mixed")
     open_ = work.table(postings.join(mixed, "token").join(sizes, "comp"), "open")
-    # components are split evenly; single texts are grouped by the rarest token they share
-    rarest = open_.groupBy("id", "comp", "size").agg(F.min(F.struct("k", "token")).alias("r"))
+    # components are split evenly; single texts are grouped by the token they share with most others
+    keys = open_.groupBy("id", "comp", "size").agg(F.max(F.struct("k", "token")).alias("r"), F.max("n").alias("n"))
     key = F.when(F.col("size") > 1, F.col("comp")).otherwise(F.col("r.token"))
-    rarest = work.table(rarest.select("id", (F.col("size") > 1).alias("joined"), key.alias("key")), "keys")
-    parts = rarest.groupBy("joined", "key").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
+    keys = work.table(keys.select("id", "n", (F.col("size") > 1).alias("joined"), key.alias("key")), "keys")
+    parts = keys.groupBy("joined", "key").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("parts"))
     group = F.xxhash64("joined", "key", F.pmod(F.xxhash64("id"), F.col("parts")))
-    groups = work.table(rarest.join(parts, ["joined", "key"]).select("id", group.alias("g")), "groups")
+    groups = work.table(keys.join(parts, ["joined", "key"]).select("id", group.alias("g")), "groups")
     return work.table(open_.join(groups, "id").select("token", "id", "n", "comp", "size", "g"), "grouped")
 
 
@@ -263,8 +280,8 @@ def components(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percent
 
     wanted = work.table(postings.select("id").distinct(), "wanted")
     sets = work.table(stored_sets(identified.join(wanted, "id", "left_semi"), width), "sets")
-    links = work.table(compared(work.table(star_pairs(postings, percent, work), "star-pairs"), sets, percent), "star-links")
-    comps = connected_components(links, work, "star")
+    links = star_links(postings, sets, percent, work)
+    comps = connected_components(links, work, "first")
     in_comps = wanted.join(comps, "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
     in_comps = work.table(in_comps, "comps")
     sizes = work.table(in_comps.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "sizes")

@@ -42,9 +42,9 @@ def odd_texts(seed=1):
 # ---------------------------------------------------------------- Jaccard join
 
 
-@pytest.mark.parametrize("group", [jaccard.GROUP, 4])
+@pytest.mark.parametrize("group", [jaccard.GROUP_TOKENS, 400])
 def test_jaccard_equals_all_pairs(spark, words, reach, monkeypatch, group):
-    monkeypatch.setattr(jaccard, "GROUP", group)
+    monkeypatch.setattr(jaccard, "GROUP_TOKENS", group)
     rows = odd_texts(group)
     sets = {}
     for i, text in rows:
