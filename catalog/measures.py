@@ -48,6 +48,18 @@ def pct(part: str, whole: str, zero: bool = False) -> str:
     return f"COALESCE({value}, 0)" if zero else value
 
 
+def pct_exact(part: str, whole: str, zero: bool = False) -> str:
+    """Rounded as plain Python numbers are: the exact product decides what looks like a tie."""
+    high = "(v * CAST(134217729 AS DOUBLE) - (v * CAST(134217729 AS DOUBLE) - v))"
+    lost = f"(({high} * 100 - v * 100) + (v - {high}) * 100)"
+    near = (
+        f"CASE WHEN v * 100 - floor(v * 100) = 0.5 AND {lost} > 0 THEN floor(v * 100) + 1 "
+        f"WHEN v * 100 - floor(v * 100) = 0.5 AND {lost} < 0 THEN floor(v * 100) ELSE round_even(v * 100, 0) END"
+    )
+    value = f"list_transform([({part}) / NULLIF({whole}, 0) * 100], lambda v: {near} / 100)[1]"
+    return f"COALESCE({value}, 0)" if zero else value
+
+
 def distinct(key: str, condition: str) -> str:
     return f"COUNT(DISTINCT CASE WHEN {condition} THEN {key} END)"
 
@@ -171,7 +183,7 @@ def first_contact_resolution(t):
     "K05_repeat_contact",
     contact_sql(
         f"""
-SELECT periods.period, {pct("COUNT(DISTINCT CASE WHEN contacts_ahead >= 3 THEN installation_number END)",
+SELECT periods.period, {pct_exact("COUNT(DISTINCT CASE WHEN contacts_ahead >= 3 THEN installation_number END)",
                             "COUNT(DISTINCT installation_number)", zero=True)} AS repeat_pct
 FROM periods LEFT JOIN pairs ON pairs.period = periods.period GROUP BY periods.period
 """
@@ -216,7 +228,7 @@ def agent_enriched_contacts(t):
 SELECT periods.period,
        {pct("COUNT(CASE WHEN same_reason_ahead = 1 THEN 1 END)",
             "COUNT(CASE WHEN same_reason_ahead >= 1 THEN 1 END)")} AS fcr_pct,
-       {pct("COUNT(DISTINCT CASE WHEN contacts_ahead >= 3 THEN installation_number END)",
+       {pct_exact("COUNT(DISTINCT CASE WHEN contacts_ahead >= 3 THEN installation_number END)",
             "COUNT(DISTINCT installation_number)", zero=True)} AS repeat_pct
 FROM periods LEFT JOIN (
     SELECT pairs.* FROM pairs LEFT JOIN (SELECT * FROM ({ROSTER}) UNION ALL SELECT * FROM ({ROSTER})) r
@@ -240,9 +252,9 @@ def contact_quality_by_roster(t):
         "chats",
         f"""
 SELECT period, {distinct("interaction_id", "flag_rerouted = 0")} AS chats,
-       {pct(distinct("interaction_id", "flag_rerouted = 0 AND response_time - queue_time < 60"),
+       {pct_exact(distinct("interaction_id", "flag_rerouted = 0 AND response_time - queue_time < 60"),
             distinct("interaction_id", "flag_rerouted = 0"))} AS under_60_pct,
-       {pct(distinct("interaction_id", "flag_rerouted = 0 AND response_time - queue_time > 120"),
+       {pct_exact(distinct("interaction_id", "flag_rerouted = 0 AND response_time - queue_time > 120"),
             distinct("interaction_id", "flag_rerouted = 0"))} AS over_120_pct
 FROM periods LEFT JOIN chats ON {in_period("report_date")} AND chat_queue IN {listed(CHAT_QUEUES)}
 GROUP BY period
@@ -508,11 +520,11 @@ def closed_services(t):
         closed_body(LINES)
         + f"""
 SELECT period,
-       {pct(distinct(CODE, "NOT ie AND aware AND judged AND days <= 7"),
+       {pct_exact(distinct(CODE, "NOT ie AND aware AND judged AND days <= 7"),
             distinct(CODE, "NOT ie AND aware AND judged"))} AS aware_in_time_pct,
-       {pct(distinct(CODE, "NOT ie AND NOT aware AND judged AND days <= 30"),
+       {pct_exact(distinct(CODE, "NOT ie AND NOT aware AND judged AND days <= 30"),
             distinct(CODE, "NOT ie AND NOT aware AND judged"))} AS not_aware_in_time_pct,
-       {pct(distinct(CODE, "ie AND aware AND judged AND days <= 7"),
+       {pct_exact(distinct(CODE, "ie AND aware AND judged AND days <= 7"),
             distinct(CODE, "ie AND aware AND judged"))} AS aware_in_time_pct_ie
 FROM periods LEFT JOIN done ON {in_period("closing_finishing_date")} GROUP BY period
 """,
@@ -543,7 +555,7 @@ def closing_sla(t):
     LEFT JOIN kept w ON a.period = w.period AND a.code_maintenance_ibs = w.code_maintenance_ibs
     LEFT JOIN kept p ON a.period = p.period AND a.code_maintenance_ibs = p.code_maintenance_ibs
 )
-SELECT periods.period, {pct(distinct("code_maintenance_ibs", "label = 'Retained'"),
+SELECT periods.period, {pct_exact(distinct("code_maintenance_ibs", "label = 'Retained'"),
                             "COUNT(DISTINCT installation_number)")} AS retention_pct
 FROM periods LEFT JOIN labelled ON labelled.period = periods.period AND label <> 'Pending'
 GROUP BY periods.period
@@ -691,7 +703,7 @@ def backoffice_volume(t):
         "mt_generated zv_generated mt_closed zv_closed",
         BACK_OFFICE
         + f"""
-SELECT period, {pct("COUNT(CASE WHEN detail = 'OPSE' THEN 1 END)", "COUNT(d)")} AS sent_to_field_pct
+SELECT period, {pct_exact("COUNT(CASE WHEN detail = 'OPSE' THEN 1 END)", "COUNT(d)")} AS sent_to_field_pct
 FROM periods LEFT JOIN done ON {in_period("d")} GROUP BY period
 """,
         OP,
@@ -753,8 +765,8 @@ def active_portfolio(t):
         "portfolio devices mt_backlog zv_backlog",
         BASE
         + f"""
-SELECT period, p AS panel_backlog, {pct("p", "panel_base")} AS panel_pct,
-       d AS device_backlog, {pct("d", "device_base")} AS device_pct
+SELECT period, p AS panel_backlog, {pct_exact("p", "panel_base")} AS panel_pct,
+       d AS device_backlog, {pct_exact("d", "device_base")} AS device_pct
 FROM base, (SELECT period,
     (SELECT COUNT(DISTINCT trim(incidence_number)) FROM mt_backlog WHERE {in_period("incidence_creation_date")}) AS p,
     (SELECT COUNT(DISTINCT trim(incidence_number)) FROM zv_backlog WHERE {in_period("incidence_creation_date")}) AS d
@@ -913,10 +925,10 @@ GROUP BY period
             "<COLUMNS>",
             f"""COUNT(DISTINCT {IXN}) AS calls,
        {distinct(IXN, IS_ANSWERED + " AND routing_point_time < 40")} AS answered_under_40,
-       {pct(distinct(IXN, IS_ANSWERED + " AND routing_point_time < 40"), "COUNT(DISTINCT interaction_id)")} AS under_40_pct,
-       {pct(distinct(IXN, IS_ANSWERED + " AND routing_point_time > 120"), "COUNT(DISTINCT interaction_id)")} AS over_120_pct,
+       {pct_exact(distinct(IXN, IS_ANSWERED + " AND routing_point_time < 40"), "COUNT(DISTINCT interaction_id)")} AS under_40_pct,
+       {pct_exact(distinct(IXN, IS_ANSWERED + " AND routing_point_time > 120"), "COUNT(DISTINCT interaction_id)")} AS over_120_pct,
        {distinct(IXN, IS_ABANDONED)} AS abandoned,
-       {pct(distinct(IXN, IS_ABANDONED + " AND routing_point_time > 10"), "COUNT(DISTINCT interaction_id)")}
+       {pct_exact(distinct(IXN, IS_ABANDONED + " AND routing_point_time > 10"), "COUNT(DISTINCT interaction_id)")}
            AS abandoned_over_10_pct""",
         ),
         EP,
@@ -933,7 +945,7 @@ def care_line(t):
         CARE.replace(
             "<COLUMNS>",
             f"""{distinct(IXN, IS_IRISH)} AS calls_ie,
-       {pct(distinct(IXN, IS_IRISH + " AND routing_point_time < 40"), distinct(IXN, IS_IRISH), zero=True)} AS under_40_pct_ie""",
+       {pct_exact(distinct(IXN, IS_IRISH + " AND routing_point_time < 40"), distinct(IXN, IS_IRISH), zero=True)} AS under_40_pct_ie""",
         ),
         EP,
     ),
@@ -951,7 +963,7 @@ def ended(kind: str, end: str) -> str:
     with_inputs(
         "tickets_closed care_staff",
         f"""
-SELECT period, {pct(
+SELECT period, {pct_exact(
     f"{ended('CANC', 'Retained')} + {ended('RECO', 'Retained')} + {ended('CCN', 'Retained')}",
     f"{ended('CANC', 'Retained')} + {ended('RECO', 'Retained')} + {ended('CANC', 'Cancelled')}", zero=True)} AS retention_pct
 FROM periods LEFT JOIN (
@@ -1063,7 +1075,7 @@ EXTRA = f"(SELECT COUNT(DISTINCT {CODE}) FROM accessory_services WHERE {in_perio
     with_inputs(
         "selfservice_finalised accessory_services services_closed",
         closed_body(LINES_WITH_ACCESSORIES)
-        + f"SELECT period, {pct(f'{FINALISED} + {EXTRA}', f'({FINALISED} + {FIELD_TOTAL})')} AS share_pct FROM periods",
+        + f"SELECT period, {pct_exact(f'{FINALISED} + {EXTRA}', f'({FINALISED} + {FIELD_TOTAL})')} AS share_pct FROM periods",
         OP,
     ),
 )
@@ -1078,7 +1090,7 @@ def selfservice_share(t):
     with_inputs(
         "selfservice_finalised",
         f"""
-SELECT period, {pct("COUNT(*) - COUNT(closing_finishing_identifier)", "COUNT(*)")} AS no_agent_pct
+SELECT period, {pct_exact("COUNT(*) - COUNT(closing_finishing_identifier)", "COUNT(*)")} AS no_agent_pct
 FROM selfservice_finalised JOIN periods ON {in_period("maintenance_closing_date")} GROUP BY period
 """,
         OP,

@@ -147,3 +147,13 @@ def test_rounding_is_that_of_arrays(spark, pairs):
     got = [g[0] for g in values(spark, pairs, "a bigint, b bigint", ratio.pct(F.col("a"), F.col("b")))]
     want = np.round(np.array([a / b * 100 for a, b in pairs]), 2)
     assert got == want.tolist()
+
+
+def test_exact_rounding_equals_python(spark):
+    from opsgauge.functions.ratio import round_exact
+
+    pairs = [(a, b) for b in (160, 800, 4000) for a in range(1, b + 1)] + [(a, 20000) for a in range(1, 20000, 7)]
+    df = spark.createDataFrame([(a / b * 100,) for a, b in pairs], "x double")
+    got = [r["y"] for r in df.select(round_exact(F.col("x")).alias("y")).collect()]
+    assert got == [round(a / b * 100, 2) for a, b in pairs]
+    assert got != [float(np.round(a / b * 100, 2)) for a, b in pairs]
