@@ -1,6 +1,8 @@
 """Quality by compression: a text is good if a dictionary of good texts shrinks it more than one of
 bad texts does. The difference of the compressed sizes, over the text's size, becomes a score
-between 0 and 1 by logistic regression on labelled texts that the dictionaries have not seen.
+between 0 and 1 by logistic regression on labelled texts that the dictionaries have not seen. The
+regression also knows how short a text is: a short one's difference is near 0 whatever it is, and its
+score should then be near the share of good texts among short ones.
 """
 
 from __future__ import annotations
@@ -23,23 +25,20 @@ PER_CLASS = 2000
 LONGEST = 20_000
 DICTIONARY = 112_640
 CHUNK = 2048
+HALF_SHORT = 64
 LEVEL = 3
 
 
 @dataclass(frozen=True)
 class Model:
-    """Two dictionaries, and the line from the size difference to the log odds of a good text."""
+    """Two dictionaries, and the weights of the evidence and of 1 in the log odds of a good text."""
 
     good: bytes
     bad: bytes
-    slope: float
-    intercept: float
-
-    def difference(self, text: str) -> float:
-        return size_difference(self.good, self.bad, text)
+    weights: tuple[float, ...]
 
     def score(self, text: str) -> float:
-        z = self.slope * self.difference(text) + self.intercept
+        z = sum(w * x for w, x in zip(self.weights, (*evidence(self.good, self.bad, text), 1.0)))
         return 1 / (1 + math.exp(-min(max(z, -700.0), 700.0)))
 
 
@@ -71,6 +70,14 @@ def size_difference(good: bytes, bad: bytes, text: str) -> float:
     return gain / max(1, len(data))
 
 
+def evidence(good: bytes, bad: bytes, text: str) -> tuple[float, float, float]:
+    """The size difference, the text's shortness (1 for an empty one, 1/2 at ``HALF_SHORT`` bytes), and
+    their product."""
+    difference = size_difference(good, bad, text)
+    short = HALF_SHORT / (HALF_SHORT + len(text.encode("utf-8", "replace")))
+    return difference, short, difference * short
+
+
 def dictionary(texts: list[str]) -> bytes:
     """A dictionary of these texts: trained, or where they are too few to train on, their own bytes."""
     data = [x.encode("utf-8", "replace") for x in texts]
@@ -81,32 +88,33 @@ def dictionary(texts: list[str]) -> bytes:
         return b"".join(pieces)[:DICTIONARY]
 
 
-def fit_line(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and intercept of a logistic regression, with a weak pull of the slope to 0."""
+def fit_weights(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, ...]:
+    """Weights of a logistic regression, the constant's last, with a weak pull of the others to 0."""
     if not len(x):
-        return 0.0, 0.0
-    scale = float(np.std(x)) or 1.0
-    features = np.stack([x / scale, np.ones(len(x))], 1)
-    # targets a little inside 0 and 1, so that separable classes have a finite best line
+        return (0.0,) * 4
+    scale = np.std(x, axis=0)
+    scale[scale == 0] = 1.0
+    features = np.concatenate((x / scale, np.ones((len(x), 1))), 1)
+    # targets a little inside 0 and 1, so that separable classes have a finite best fit
     n1, n0 = float((y == 1).sum()), float((y == 0).sum())
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    weights, pull = np.zeros(2), np.diag([1e-3, 1e-6])
+    weights, pull = np.zeros(features.shape[1]), np.diag([1e-3] * x.shape[1] + [1e-6])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(features @ weights, -30, 30)))
         slope = features.T @ (p - target) + pull @ weights
         curve = (features * (p * (1 - p))[:, None]).T @ features + pull
         step = np.linalg.solve(curve, slope)
         weights = weights - step * min(1.0, 5.0 / max(1e-12, float(np.abs(step).max())))
-    return float(weights[0] / scale), float(weights[1])
+    return tuple((weights / np.append(scale, 1.0)).tolist())
 
 
 def fit(labelled: list[tuple[str, int]]) -> Model:
-    """Dictionaries from every other text of each class, the line from the rest."""
+    """Dictionaries from every other text of each class, the weights from the rest."""
     parts = {c: [t for t, label in labelled if label == c] for c in (0, 1)}
     good, bad = (dictionary(parts[c][::2]) if parts[c] else b"" for c in (1, 0))
     rest = [(t, c) for c in (0, 1) for t in parts[c][1::2]]
-    x = np.array([size_difference(good, bad, t) for t, _ in rest])
-    return Model(good, bad, *fit_line(x, np.array([c for _, c in rest])))
+    x = np.array([evidence(good, bad, t) for t, _ in rest])
+    return Model(good, bad, fit_weights(x, np.array([c for _, c in rest])))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> list[tuple[str, int]]:
@@ -129,7 +137,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
 def score_documents(docs: DataFrame, model: Model, score: str = "score", predicted: str = "predicted") -> DataFrame:
     """All rows and columns, with the score of the whole text and whether it reaches the threshold.
 
-    A null or empty text has no size difference and gets the score of a difference of 0. Columns
+    A null or empty text has no size difference and gets the score of the shortest texts. Columns
     named like the new ones are replaced.
     """
     docs = docs.drop(*(c for c in docs.columns if c.lower() in (score.lower(), predicted.lower())))

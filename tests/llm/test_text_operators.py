@@ -189,6 +189,14 @@ def test_quality_on_held_out_labels(spark, sf_dir):
     assert out.loc[out["quality"] == 1, "predicted"].mean() > 0.97
 
 
+def test_short_good_texts_are_kept():
+    good = [(f"the word{k} and a word{k + 1} of it " * (1 + k % 40), 1) for k in range(400)] + [(f"the word{k}", 1) for k in range(60)]
+    bad = [(f"the### word{k}$$$ and%%% word{k + 1}*** " * (1 + k % 40), 0) for k in range(400)]
+    model = quality.fit(good + bad)
+    assert min(model.score(t) for t in ("", "the", "a word3", "and")) >= 0.3
+    assert model.score("the### word9$$$ and%%% " * 30) < 0.3 < model.score("the word9 and " * 30)
+
+
 def test_quality_never_reads_held_out_labels(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
     flipped = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - quality, quality) as quality")
