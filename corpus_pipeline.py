@@ -23,8 +23,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_line_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stand on many documents of their source."""
-    out = lines.drop_boilerplate(docs, Workspace(spark, "lines"))
+    """All documents, without lines that stand on many different documents of their source. Copies
+    count as one, so that a text with many copies keeps its lines."""
+    out = lines.drop_boilerplate(docs, Workspace(spark, "lines"), distinct_pages=True)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -52,6 +52,13 @@ def test_line_stage(stages):
     assert {r.doc_id: (r.text, r.n_chars) for r in after} == {i: (t, len(t)) for i, t in clean.items()}
 
 
+def test_line_stage_counts_copies_once(spark):
+    texts = [f"own {k}\nmore {k}\n" + ("Home" if k < 20 else "end") for k in range(40)] + ["first\nsecond"] * 15 + ["second\nfirst"] * 5
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_line_boilerplate(spark, docs, "").collect()}
+    assert got == {k: t.rpartition("\n")[0] if k < 40 else t for k, t in enumerate(texts)}
+
+
 def test_near_duplicate_stage(stages, words, reach):
     before, after = stages[2][1], stages[3][1]
     sets = {}
