@@ -1,15 +1,19 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark.
+"""An interpolated modified Kneser-Ney model of any order, counted in Spark.
 
 The model is a set of arrays in the shared folder. Words are sorted 64-bit hashes in blocks by their
-leading bits; a word's place among all of them is its id. Bigrams are sorted (context id, word id)
-keys in shards by context; the contexts that most tokens follow are spread over all shards by the
-whole key. Further arrays hold one number for each word id. Workers map them into memory.
+leading bits; a word's place among all of them is its id. N-grams of each length, and their contexts,
+are sorted 64-bit hashes of word ids in shards by the hash, with their numbers beside them. A further
+array holds one number for each word id. Workers map them into memory.
+
+The longest n-grams have the counts of the texts, shorter ones the number of distinct words before
+them. N-grams are counted in slices by the last word of the context, each stored before the next.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsgauge.llm.arrays import cached_array, save_array
-from opsgauge.llm.words import mix, text_blocks
+from opsgauge.llm.words import SHINGLE, mix, text_blocks
 from opsgauge.llm.workspace import Workspace
 
 END_HASH = np.uint64(0x5BD1E995A7C3F10D)
-HOT_CONTEXTS = 1024
+ORDER = 3
+SLICES = 6
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TOKENS_PER_SHARD = 1 << 22
 WORDS_PER_BLOCK = 1 << 20
 GATHER = 1 << 21
@@ -79,6 +85,15 @@ def slices_by(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 # ---------------------------------------------------------------- the stored model
 
 
+@dataclass(frozen=True)
+class Level:
+    """The n-grams of one length: their discounts, and the shards that hold n-grams and contexts."""
+
+    discounts: tuple[float, float, float]
+    grams: frozenset[int]
+    contexts: frozenset[int]
+
+
 @dataclass(frozen=True)
 class Model:
     """Where the arrays are, and the numbers that hold for the whole model."""
@@ -89,8 +104,8 @@ class Model:
     shards: int
     per_block: int
     tokens: int
-    hot: tuple[int, ...]
-    discounts: tuple[float, ...] = (0.0, 0.0, 0.0)
+    order: int
+    levels: tuple[Level, ...] = ()
     lower_discounts: tuple[float, ...] = (0.0, 0.0, 0.0)
     types: int = 0
     lower_rest: float = 1.0
@@ -124,30 +139,29 @@ class Model:
                 out[cuts[b] : cuts[b + 1]] = counts[ids[cuts[b] : cuts[b + 1]] - self.offsets[b]]
         return out
 
-    def numbers(self, ids: np.ndarray) -> np.ndarray:
-        """A row for each of sorted ids: followers (with repeats, then of count 1, 2, more), distinct
-        predecessors; zeros for -1."""
-        out = np.zeros((len(ids), 5), np.int64)
+    def predecessors(self, ids: np.ndarray) -> np.ndarray:
+        """Numbers of distinct predecessors of sorted ids; 0 for -1."""
+        out = np.zeros(len(ids), np.int64)
         for block, places in slices_by(ids // self.per_block):
-            if block >= 0:
-                out[places] = cached_array(self.folder, f"numbers-{block}")[ids[places] % self.per_block]
+            if block >= 0 and self.types:
+                out[places] = cached_array(self.folder, f"predecessors-{block}")[ids[places] % self.per_block]
         return out
 
-    def shard_of(self, keys: np.ndarray) -> np.ndarray:
-        context = keys >> np.uint64(32)
-        spread = np.isin(context, np.array(self.hot, np.uint64))
-        return mix(np.where(spread, keys, context)) % np.uint64(self.shards)
-
-    def bigram_counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts of sorted distinct keys."""
-        out = np.zeros(len(keys), np.int64)
-        for shard, places in slices_by(self.shard_of(keys)):
-            known = cached_array(self.folder, f"bigrams-{shard}") if self.types else ()
-            if len(known):
+    def shard_of(self, keys: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Shard of n-grams or contexts by their keys and the last words of the contexts."""
+        return (slice_of(last) * self.shards + (keys % np.uint64(self.shards)).astype(np.int64)).astype(np.int32)
+
+    def look_up(self, grams: np.ndarray, last: np.ndarray, name: str, filled: frozenset[int], width: int) -> np.ndarray:
+        """The stored numbers of each row of ids; zeros where there are none."""
+        keys, first, again = np.unique(gram_keys(grams), return_index=True, return_inverse=True)
+        out = np.zeros((len(keys), width), np.int64)
+        for shard, places in slices_by(self.shard_of(keys, last[first])):
+            if shard in filled:
+                known = cached_array(self.folder, f"{name}_keys-{shard}")
                 at = np.minimum(np.searchsorted(known, keys[places]), len(known) - 1)
                 hit = known[at] == keys[places]
-                out[places] = np.where(hit, cached_array(self.folder, f"bigram_counts-{shard}")[at], 0)
-        return out
+                out[places[hit]] = cached_array(self.folder, f"{name}-{shard}")[at[hit]]
+        return out[again]
 
     def lower(self, predecessors: np.ndarray) -> np.ndarray:
         """Probabilities of words by their numbers of distinct predecessors."""
@@ -234,112 +248,217 @@ def ids_of_tokens(model: Model, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
     return distinct, again[where]
 
 
-def bigram_keys(model: Model, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Key of each token after its predecessor; a text's first token follows a begin mark, whose id is
-    the number of words. An unknown word on either side gives the largest key."""
-    before = np.concatenate(([0], ids[:-1]))
-    before[bounds[:-1]] = model.words
-    keys = (before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)
-    return np.where((before < 0) | (ids < 0), np.uint64(2**64 - 1), keys)
+def windows(ids: np.ndarray, bounds: np.ndarray, order: int, begin: int) -> np.ndarray:
+    """For each token the ids of the n-gram that it ends; texts follow ``order`` - 1 begin marks."""
+    place = np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))
+    out = np.empty((len(ids), order), np.uint32)
+    for back in range(order):
+        column = ids if not back else np.concatenate((ids[:back], ids[:-back]))[: len(ids)]
+        out[:, order - 1 - back] = np.where(place >= back, column, begin).astype(np.uint32)
+    return out
 
 
-def store_bigrams(train: DataFrame, model: Model, text: str) -> DataFrame:
-    """Count bigrams and write the shards; returns the rows (block, id, five numbers) that each shard
-    adds to the word ids it holds. Block -1 has in its numbers how many bigrams occur once to four
-    times, and how many there are."""
-    folder = model.folder
+def gram_keys(grams: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the rows."""
+    total = np.full(len(grams), grams.shape[1], np.uint64)
+    for k in range(grams.shape[1]):
+        total += (grams[:, k].astype(np.uint64) + np.uint64(1)) * SHINGLE[k]
+    return mix(total)
 
-    def count(batches):
-        gathered = Gathered()
+
+def slice_of(last: np.ndarray) -> np.ndarray:
+    """The pass that counts n-grams, by the last words of their contexts."""
+    return (mix(last.astype(np.uint64)) % np.uint64(SLICES)).astype(np.int64)
+
+
+def added_up(grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys of the distinct rows, the rows, and the sums of their values."""
+    keys, first, where = np.unique(gram_keys(grams), return_index=True, return_inverse=True)
+    sums = np.stack([np.bincount(where, v, len(keys)) for v in values.T], 1).astype(np.int64)
+    return keys, grams[first], sums
+
+
+def small(values: np.ndarray) -> np.ndarray:
+    """The same numbers in the smallest type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max())))
+
+
+def gram_rows(batches: Iterator[pa.RecordBatch], width: int, *names: str) -> tuple[np.ndarray, ...]:
+    """The ids of all rows of a task and its other columns."""
+    columns = rows_of(batches, *(f"w{k}" for k in range(width)), *names)
+    ids = np.stack([c.astype(np.int32).view(np.uint32) for c in columns[:width]], 1)
+    return ids, *columns[width:]
+
+
+def row_batch(grams: np.ndarray, width: int, **others: np.ndarray) -> pa.RecordBatch:
+    ids = [pa.array(np.ascontiguousarray(grams[:, k]).view(np.int32)) for k in range(width)]
+    return pa.RecordBatch.from_arrays([*ids, *(pa.array(v) for v in others.values())], [*(f"w{k}" for k in range(width)), *others])
+
+
+def row_schema(width: int, others: str) -> str:
+    return "".join(f"w{k} int, " for k in range(width)) + others
+
+
+GRAMS, CONTEXTS, NEXT = 0, 1, 2
+VALUES = "abcd"
+VALUE_TYPES = "kind int, shard int, " + ", ".join(f"{v} long" for v in VALUES)
+
+
+def texts_dealt(train: DataFrame, model: Model, text: str, part: int) -> DataFrame:
+    """The n-grams of one slice with their counts, added up over many texts, and their shards."""
+    order = model.order
+
+    def deal(batches):
+        held, size = [], 0
 
         def sent():
-            keys, counts = gathered.take()
-            shards = model.shard_of(keys).astype(np.int32)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(shards), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["shard", "key", "n"]
-            )
+            _, grams, n = added_up(np.concatenate(held), np.ones((size, 1), np.int64))
+            yield row_batch(grams, order, shard=model.shard_of(gram_keys(grams), grams[:, -2]), n=n[:, 0])
 
         for batch in batches:
             for _, tokens, bounds in token_blocks(batch, text):
                 distinct, where = ids_of_tokens(model, tokens)
-                if gathered.add(bigram_keys(model, distinct[where], bounds)):
-                    yield sent()
-        if gathered.size:
-            yield sent()
+                grams = windows(distinct[where], bounds, order, model.words)
+                held.append(grams[slice_of(grams[:, -2]) == part])
+                size += len(held[-1])
+                if size >= GATHER:
+                    yield from sent()
+                    held, size = [], 0
+        if size:
+            yield from sent()
+
+    return train.select(text).mapInArrow(deal, row_schema(order, "shard int, n long"))
 
-    def rows(ids, block, *numbers):
-        columns = [block, ids, *numbers]
-        return pa.RecordBatch.from_arrays([pa.array(np.asarray(c, np.int64)) for c in columns], NUMBER_NAMES)
+
+def grams_dealt(rows: DataFrame, model: Model, width: int, part: int) -> DataFrame:
+    """The same from the rows that the next longer n-grams have left."""
+
+    def deal(batches):
+        for batch in batches:
+            grams, n = gram_rows([batch], width, "a")
+            mine = slice_of(grams[:, -2]) == part
+            grams, n = grams[mine], n[mine]
+            if len(n):
+                yield row_batch(grams, width, shard=model.shard_of(gram_keys(grams), grams[:, -2]), n=n)
+
+    return rows.mapInArrow(deal, row_schema(width, "shard int, n long"))
+
+
+def store_slice(dealt: DataFrame, model: Model, width: int) -> DataFrame:
+    """Write the n-grams and the contexts of one slice. Returns, by kind: how many n-grams of each
+    shard have the counts one to four, the shards of contexts, and the n-grams without their first
+    word with the number of distinct words before them."""
+    folder, below = model.folder, width - 1
+
+    def rows(grams, kind, shard, *values):
+        n, zero = len(grams), np.zeros(len(grams), np.int64)
+        columns = dict(zip(VALUES, [*(np.asarray(v, np.int64) for v in values), *[zero] * 4]))
+        return row_batch(grams, below, kind=np.full(n, kind, np.int32), shard=np.broadcast_to(np.int32(shard), n).copy() if np.isscalar(shard) else shard, **columns)
+
+    nothing = np.zeros((1, below), np.uint32)
 
     def store(batches):
-        shards, all_keys, all_counts = rows_of(batches, "shard", "key", "n")
+        ids, shards, n = gram_rows(batches, width, "shard", "n")
         for shard, places in slices_by(shards):
-            keys, where = np.unique(all_keys[places].view(np.uint64), return_inverse=True)
-            counts = np.bincount(where, all_counts[places]).astype(np.int64)
-            save_array(folder, f"bigrams-{shard}", keys)
-            save_array(folder, f"bigram_counts-{shard}", counts)
-            of = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-            yield rows([0], [-1], *([x] for x in of), [len(keys)])
-            context, first = np.unique(keys >> np.uint64(32), return_index=True)
-            sums = [np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)]
-            yield rows(context, context // np.uint64(model.per_block), *sums, np.zeros(len(context)))
-            word, number = np.unique(keys & np.uint64(2**32 - 1), return_counts=True)
-            zero = np.zeros(len(word))
-            yield rows(word, word // np.uint64(model.per_block), zero, zero, zero, zero, number)
-
-    counted = train.select(text).mapInArrow(count, "shard int, key long, n long")
-    return counted.repartition(model.shards, "shard").mapInArrow(store, NUMBERS)
-
-
-NUMBER_NAMES = ["block", "id", "followers", "once", "twice", "more", "predecessors"]
-NUMBERS = ", ".join(f"{n} long" for n in NUMBER_NAMES)
-
-
-def store_numbers(numbers: DataFrame, model: Model) -> tuple[list[int], list[int]]:
-    """Write the numbers of all word ids in blocks; the bigrams' numbers, and how many words have one
-    to four distinct predecessors, then how many more than two."""
+            keys, grams, counts = added_up(ids[places], n[places][:, None])
+            save_array(folder, f"grams{width}_keys-{shard}", keys)
+            save_array(folder, f"grams{width}-{shard}", small(counts))
+            c = counts[:, 0]
+            yield rows(nothing, GRAMS, int(shard), *([int((c == k).sum())] for k in (1, 2, 3, 4)))
+            values = np.stack([c, c == 1, c == 2, c > 2], 1).astype(np.int64)
+            keys, context, sums = added_up(grams[:, :-1], values)
+            yield rows(context, CONTEXTS, model.shard_of(keys, context[:, -1]), *sums.T)
+            keys, suffix, sums = added_up(grams[:, 1:], np.ones((len(grams), 1), np.int64))
+            yield rows(suffix, NEXT, (keys % np.uint64(model.shards)).astype(np.int32), sums[:, 0])
+
+    def finish(batches):
+        ids, kinds, shards, *values = gram_rows(batches, below, "kind", "shard", *VALUES)
+        values = np.stack(values, 1)
+        for kind, some in slices_by(kinds):
+            if kind == GRAMS:
+                for at in some:
+                    yield rows(nothing, GRAMS, int(shards[at]), *values[at][:, None])
+                continue
+            for shard, places in slices_by(shards[some]):
+                keys, grams, sums = added_up(ids[some[places]], values[some[places]])
+                if kind == CONTEXTS:
+                    save_array(folder, f"contexts{width}_keys-{shard}", keys)
+                    save_array(folder, f"contexts{width}-{shard}", small(sums))
+                    yield rows(nothing, CONTEXTS, int(shard), *np.zeros((4, 1), np.int64))
+                else:
+                    yield rows(grams, NEXT, int(shard), sums[:, 0])
+
+    schema = row_schema(below, VALUE_TYPES)
+    stored = dealt.repartition(model.shards, "shard").mapInArrow(store, schema)
+    return stored.repartition(model.shards, "kind", "shard").mapInArrow(finish, schema)
+
+
+def store_predecessors(rows: DataFrame, model: Model) -> list[int]:
+    """Write the numbers of distinct predecessors of all word ids in blocks; how many words have one
+    to four and how many more than two, and the sum."""
     folder, per_block, words = model.folder, model.per_block, model.words
 
     def store(batches):
-        columns = rows_of(batches, *NUMBER_NAMES)
-        out = []
-        for block, places in slices_by(columns[0]):
-            ids, values = columns[1][places], [c[places] for c in columns[2:]]
-            if block < 0:
-                out.append([-1, *(int(v.sum()) for v in values)])
-                continue
-            table = np.stack([np.bincount(ids % per_block, v, per_block) for v in values], 1).astype(np.int64)
-            save_array(folder, f"numbers-{block}", table)
-            own = table[: max(0, min(per_block, words - block * per_block)), 4]
-            out.append([block, *(int((own == k).sum()) for k in (1, 2, 3, 4)), int((own > 2).sum())])
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*out)], ["block", *"abcde"])
-
-    blocks = model.words // per_block + 1
-    stored = numbers.repartition(blocks, "block").mapInArrow(store, "block long, a long, b long, c long, d long, e long")
-    totals = stored.groupBy((F.col("block") < 0).alias("all")).agg(*(F.sum(c).alias(c) for c in "abcde"))
-    found = {r["all"]: [r[c] for c in "abcde"] for r in totals.collect()}
-    return found.get(True, [0] * 5), found.get(False, [0] * 5)
-
-
-def train_model(spark: SparkSession, train: DataFrame, text: str = "text") -> Model:
-    """Count the texts of ``train`` and store the model in a new shared folder."""
+        blocks, ids, n = rows_of(batches, "block", "w0", "n")
+        for block, places in slices_by(blocks):
+            own = np.bincount(ids[places] % per_block, n[places], min(per_block, words - block * per_block)).astype(np.int64)
+            save_array(folder, f"predecessors-{block}", own)
+            found = [*(int((own == k).sum()) for k in (1, 2, 3, 4)), int((own > 2).sum()), int(own.sum())]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in found], list("abcdef"))
+
+    id = F.col("w0").cast("long").bitwiseAND(F.lit(2**32 - 1))
+    summed = rows.select(id.alias("w0"), "a").groupBy("w0").agg(F.sum("a").alias("n"))
+    # a row for every block, so that each has its array
+    blocks = rows.sparkSession.range(0, words, per_block).select(F.col("id").alias("w0"), F.lit(0).cast("long").alias("n"))
+    summed = summed.union(blocks).withColumn("block", F.floor(F.col("w0") / per_block))
+    stored = summed.repartition(-(-words // per_block), "block").mapInArrow(store, ", ".join(f"{c} long" for c in "abcdef"))
+    return list(stored.agg(*(F.sum(c) for c in "abcdef")).first())
+
+
+def store_levels(spark: SparkSession, train: DataFrame, model: Model, work: Workspace, text: str) -> tuple[tuple[Level, ...], DataFrame]:
+    """Count n-grams from the longest down to pairs, one slice after the other: what a slice shuffles
+    is dropped before the next begins. The levels from pairs up, and the rows that pairs leave."""
+    levels, above = [], None
+    for width in range(model.order, 1, -1):
+        left = []
+        for part in range(SLICES):
+            dealt = grams_dealt(above, model, width, part) if above is not None else texts_dealt(train, model, text, part)
+            before = spark.conf.get(DROP_SHUFFLES, "false")
+            spark.conf.set(DROP_SHUFFLES, "true")
+            try:
+                left.append(work.table(store_slice(dealt, model, width), f"left{width}-{part}"))
+            finally:
+                spark.conf.set(DROP_SHUFFLES, before)
+        rows = reduce(DataFrame.union, left)
+        # two rows for each shard
+        found = rows.where(F.col("kind") != NEXT).select("kind", "shard", *VALUES).collect()
+        grams = [r for r in found if r["kind"] == GRAMS]
+        of = [sum(r[v] for r in grams) for v in VALUES]
+        contexts = frozenset(r["shard"] for r in found if r["kind"] == CONTEXTS)
+        levels.append(Level(discounts_of(*of), frozenset(r["shard"] for r in grams), contexts))
+        above = rows.where(F.col("kind") == NEXT).select(*(f"w{k}" for k in range(width - 1)), "a")
+    return tuple(levels[::-1]), above
+
+
+def train_model(spark: SparkSession, train: DataFrame, text: str = "text", order: int = ORDER) -> Model:
+    """Count the texts of ``train`` and store the model, of n-grams of up to ``order`` words, in a new
+    shared folder."""
+    if not 2 <= order <= len(SHINGLE):
+        raise ValueError(f"order {order} is not between 2 and {len(SHINGLE)}")
     work = Workspace(spark, "ngrams")
     folder = f"{work.path}/model"
     words, size, tokens = count_words(train, work, text)
     bits, offsets = store_words(words, size, folder)
-    shards = max(64, -(-tokens // TOKENS_PER_SHARD))
+    shards = max(32, -(-tokens // TOKENS_PER_SHARD))
     per_block = max(1 << 13, 1 << powers_of_two(-(-size // 1024)))
-    model = Model(folder, bits, offsets, shards, per_block, tokens, (size,))
-    # at most HOT_CONTEXTS words, whatever the size
-    top = words.orderBy(F.desc("n"), "word").limit(HOT_CONTEXTS).collect()
-    hashes = np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
-    model = replace(model, hot=(*sorted(model.word_ids(hashes).tolist()), size))
-    bigrams, lower = store_numbers(store_bigrams(train, model, text), model)
-    types = bigrams[4]
-    low = discounts_of(*lower[:4])
-    rest = (low[0] * lower[0] + low[1] * lower[1] + low[2] * lower[4]) / types if types else 1.0
-    return replace(model, discounts=discounts_of(*bigrams[:4]), lower_discounts=low, types=types, lower_rest=rest)
+    model = Model(folder, bits, offsets, shards, per_block, tokens, order)
+    if not tokens:
+        return model
+    levels, rows = store_levels(spark, train, model, work, text)
+    *lower, more, types = store_predecessors(rows, model)
+    low = discounts_of(*lower)
+    rest = (low[0] * lower[0] + low[1] * lower[1] + low[2] * more) / types
+    return replace(model, levels=levels, lower_discounts=low, types=types, lower_rest=rest)
 
 
 # ---------------------------------------------------------------- scoring
@@ -351,28 +470,25 @@ SCORE_TYPES = (T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.Doubl
 def score_block(model: Model, tokens: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """For each text of a block: tokens, known tokens, and the two scores (base-10 logarithms)."""
     distinct, where = ids_of_tokens(model, tokens)
-    ids = distinct[where]
     counts = model.word_counts(distinct)
-    numbers = model.numbers(distinct)
     base = np.log10((counts + 1) / (model.tokens + model.words + 1))
-    keys = bigram_keys(model, ids, bounds)
-    pairs, again = np.unique(keys, return_inverse=True)
-    pair_counts = model.bigram_counts(pairs)[again]
-    # numbers of each token's context; texts begin after the begin mark
-    context = np.concatenate((np.zeros((1, 5), np.int64), numbers[where][:-1]))
-    context[bounds[:-1]] = model.numbers(np.array([model.words])) if model.types else 0
-    total = context[:, 0]
-    rest = context[:, 1:4] @ np.array(model.discounts)
-    lower = model.lower(numbers[:, 4])[where]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        upper = (np.maximum(pair_counts - discount(model.discounts, pair_counts), 0) + rest * lower) / total
-    score = np.log10(np.where(total > 0, upper, lower))
+    chance = model.lower(model.predecessors(distinct))[where]
+    # an unknown word's id becomes the largest one, which no stored n-gram has
+    grams = windows(distinct[where], bounds, model.order, model.words)
+    for width, level in enumerate(model.levels, 2):
+        own, last = grams[:, -width:], grams[:, -2]
+        n = model.look_up(own, last, f"grams{width}", level.grams, 1)[:, 0]
+        context = model.look_up(own[:, :-1], last, f"contexts{width}", level.contexts, 4)
+        total, rest = context[:, 0], context[:, 1:] @ np.array(level.discounts)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            upper = (np.maximum(n - discount(level.discounts, n), 0) + rest * chance) / total
+        chance = np.where(total > 0, upper, chance)
     first = bounds[:-1]
     return [
         np.diff(bounds),
         np.add.reduceat((counts > 0)[where].astype(np.int64), first),
         np.add.reduceat(base[where], first),
-        np.add.reduceat(score, first),
+        np.add.reduceat(np.log10(chance), first),
     ]
 
 
@@ -380,7 +496,8 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All rows and columns, with n_tokens, n_known, train_tokens, base_score and score.
 
     A null text is an empty one: its only token is the end. A word that training has not seen has the
-    probability that is left for one unknown word; after it, the lower order is used alone. Columns
+    probability that is left for one unknown word; after a context that training has not seen, the next
+    lower order is used alone. Columns
     named like the new ones are replaced.
     """
     docs = docs.drop(*(c for c in docs.columns if c.lower() in SCORES))
@@ -402,8 +519,8 @@ def perplexity(score: Column, n_tokens: Column) -> Column:
     return F.pow(F.lit(10.0), -score / n_tokens)
 
 
-def score_held_out(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
+def score_held_out(spark: SparkSession, docs: DataFrame, text: str = "text", order: int = 2) -> DataFrame:
     """Learn from the documents that are not held out and score all of them."""
     docs = docs.drop(*(c for c in docs.columns if c.lower() == "held_out")).withColumn("held_out", held_out(F.col("doc_id")))
-    model = train_model(spark, docs.where(~F.col("held_out")), text)
+    model = train_model(spark, docs.where(~F.col("held_out")), text, order)
     return score_texts(docs, model, text)

@@ -216,7 +216,7 @@ def op9(spark, read):
 
 @query("op10_ngram_lm")
 def op10(spark, read):
-    out = ngrams.score_held_out(spark, read("documents").select("doc_id", "text"))
+    out = ngrams.score_held_out(spark, read("documents").select("doc_id", "text"), order=ngrams.ORDER)
     return out.select("doc_id", "held_out", *ngrams.SCORES)
 
 

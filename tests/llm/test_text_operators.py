@@ -115,6 +115,49 @@ def test_ngram_scores_equal_a_plain_model(spark, words):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(own, rel=1e-9)
 
 
+def plain_chance(texts, words, order):
+    """Interpolated modified Kneser-Ney by the definition: the chance of a word after any context."""
+    top = collections.Counter()
+    for text in texts:
+        tokens = ["\0"] * (order - 1) + [*words(text), "\n"]
+        top.update(tuple(tokens[i - order + 1 : i + 1]) for i in range(order - 1, len(tokens)))
+    levels = {order: top}
+    for k in range(order - 1, 0, -1):
+        levels[k] = collections.Counter(g[1:] for g in levels[k + 1])
+    size = len(levels[1])
+    off, after = {}, {}
+    for k, level in levels.items():
+        of = collections.Counter(level.values())
+        off[k] = (0.0, *ngrams.discounts_of(of[1], of[2], of[3], of[4]))
+        after[k] = collections.defaultdict(lambda: [0, 0.0])
+        for g, n in level.items():
+            after[k][g[:-1]][0] += n
+            after[k][g[:-1]][1] += off[k][min(n, 3)]
+
+    def chance(context, w):
+        k = len(context) + 1
+        lower = chance(context[1:], w) if k > 1 else 1 / (size + 1)
+        if context not in after[k]:
+            return lower
+        n, (total, rest) = levels[k][(*context, w)], after[k][context]
+        return (n - off[k][min(n, 3)] + rest * lower) / total
+
+    return list(levels[1]), chance
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_ngram_scores_of_higher_orders(spark, words, order):
+    rows = odd_texts(3)
+    train = [t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    known, chance = plain_chance(train, words, order)
+    seen = tuple(["\0"] * (order - 1))
+    assert abs(sum(chance(seen, w[0]) for w in [*known, ("never seen",)]) - 1) < 1e-9
+    for r in ngrams.score_held_out(spark, frame(spark, rows), order=order).collect():
+        tokens = ["\0"] * (order - 1) + [*words(r.text), "\n"]
+        own = sum(math.log10(chance(tuple(tokens[i - order + 1 : i]), tokens[i])) for i in range(order - 1, len(tokens)))
+        assert r.score == pytest.approx(own, rel=1e-9)
+
+
 def test_ngram_model_of_nothing(spark):
     docs = frame(spark, [(1, "a b")])
     assert ngrams.score_held_out(spark, docs.limit(0)).count() == 0
