@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsgauge.llm import bpe, chats, hnsw, jaccard, lines, ngrams, quality, tiling, urls, warc
+from opsgauge.llm import bpe, chats, hnsw, jaccard, lines, ngrams, quality, repair, tiling, urls, warc
 from opsgauge.llm.registry import query
 from opsgauge.llm.workspace import Workspace
 
@@ -223,3 +223,70 @@ def op10(spark, read):
 @query("op6_decontaminate")
 def op6(spark, read):
     return tiling.judged(spark, read("documents"), read("benchmark"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE n AS (
+  SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+         COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+), crc AS (  -- crc32, bit by bit
+  SELECT *, 4294967295 - list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(name) + 1), lambda i: CAST(ascii(substr(name, i, 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+  ) AS sum FROM n
+), d AS (
+  SELECT conv_id, turn, CASE WHEN sum % 20 = 4 THEN 'user' ELSE role END AS role,
+         CASE sum % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE sum % 20 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM crc
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS tail, left(role, 1) AS ini
+  FROM d
+), f AS (
+  SELECT *, CASE WHEN tail = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN tail NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au') AS bad
+  FROM o
+), c AS (
+  SELECT n.conv_id, COALESCE(MAX(f.turn) - MIN(f.turn) + 1 - COUNT(DISTINCT f.turn), 0) AS gaps,
+         COUNT(*) FILTER (fault = 'blank') AS blank, COUNT(*) FILTER (fault = 'duplicate') AS duplicate,
+         COUNT(*) FILTER (fault = 'truncated') AS truncated, COUNT(*) FILTER (bad) AS illegal, COUNT(f.i) AS rows
+  FROM (SELECT DISTINCT conv_id FROM conversations) AS n LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM n.conv_id GROUP BY n.conv_id
+), moves(q, more, letters, added, state) AS (  -- insertions before a row, from state to state
+  VALUES (0, 0, '', '', 0), (1, 0, '', '', 1), (2, 0, '', '', 2), (3, 0, '', '', 3),
+         (0, 5, 'I', 'user:' || chr(10), 2), (1, 5, 'I', 'user:' || chr(10), 2), (2, 5, 'I', 'assistant:' || chr(10), 3),
+         (3, 5, 'I', 'user:' || chr(10), 2), (0, 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 3),
+         (1, 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 3), (2, 10, 'II', 'assistant:' || chr(10) || 'user:' || chr(10), 2),
+         (3, 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 3)
+), acts(state, letter, ini, role, after) AS (
+  VALUES (0, 'D', '', '', 0), (1, 'D', '', '', 1), (2, 'D', '', '', 2), (3, 'D', '', '', 3),
+         (0, 'K', 's', '', 1), (0, 'K', 'u', '', 2), (1, 'K', 'u', '', 2), (3, 'K', 'u', '', 2), (2, 'K', 'a', '', 3),
+         (0, 'R', '', 'user', 2), (1, 'R', '', 'user', 2), (3, 'R', '', 'user', 2), (2, 'R', '', 'assistant', 3)
+), dp AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, struct_pack(cost := CAST(0 AS BIGINT), audit := '', text := '') AS best FROM c
+  UNION ALL
+  SELECT dp.conv_id, f.i, acts.after AS q, MIN(struct_pack(
+           cost := dp.best.cost + more + CASE letter WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END,
+           audit := dp.best.audit || letters || letter,
+           text := dp.best.text || added || CASE letter WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text || chr(10) ELSE acts.role || ':' || f.text || chr(10) END)) AS best
+  FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i + 1
+  JOIN moves ON moves.q = dp.q
+  JOIN acts ON acts.state = moves.state AND (letter <> 'K' OR acts.ini = f.ini) AND (letter = 'D' OR fault NOT IN ('blank', 'duplicate'))
+  GROUP BY dp.conv_id, f.i, acts.after
+), e AS (
+  SELECT c.conv_id, MIN(struct_pack(cost := dp.best.cost + more, audit := dp.best.audit || letters, text := dp.best.text || added)) AS best
+  FROM c JOIN dp ON dp.conv_id IS NOT DISTINCT FROM c.conv_id AND dp.i = c.rows
+  JOIN moves ON moves.q = dp.q AND (moves.state = 3 OR moves.state = 0 AND more = 0)
+  GROUP BY c.conv_id
+)
+SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, best.cost AS cost, best.audit AS audit,
+       sha256(left(best.text, greatest(length(best.text) - 1, 0))) AS repaired_sha256
+FROM c JOIN e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op13_conversation_repair", OP13_SQL)
+def op13(spark, read):
+    return repair.repair_summary(spark, repair.damage(read("conversations")))

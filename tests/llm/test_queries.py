@@ -17,6 +17,7 @@ COLUMNS = {
     8: {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     9: {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     10: {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
+    13: {"conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint", "truncated": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string"},
 }
 
 
@@ -27,7 +28,7 @@ def test_query_equals_sql(spark, sf_dir, key):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= entry.queries().keys()
 
 
