@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsgauge.llm import bpe, chats, hnsw, jaccard, lines, ngrams, quality, repair, tiling, urls, warc
+from opsgauge.llm import bpe, chats, hnsw, jaccard, lexical, lines, ngrams, quality, repair, tiling, urls, warc
 from opsgauge.llm.registry import query
 from opsgauge.llm.workspace import Workspace
 
@@ -290,3 +290,30 @@ FROM c JOIN e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 @query("op13_conversation_repair", OP13_SQL)
 def op13(spark, read):
     return repair.repair_summary(spark, repair.damage(read("conversations")))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), s AS (SELECT COUNT(*) AS N, CAST(SUM(len(words)) AS BIGINT) AS L FROM d WHERE len(words) > 0),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), t AS (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM d),
+f AS (SELECT doc_id, n, term, COUNT(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * s.N + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, s.N),
+r AS (
+  SELECT q.item_id, f.doc_id, CAST(SUM(w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * f.n * s.N) // s.L)))) AS BIGINT) AS score
+  FROM q JOIN f ON f.term = q.term JOIN w ON w.term = q.term CROSS JOIN s
+  GROUP BY q.item_id, f.doc_id
+), o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 50
+"""
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12(spark, read):
+    return lexical.search(spark, read("documents"), read("benchmark")).select("item_id", "rank", "doc_id", "score")

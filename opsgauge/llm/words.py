@@ -36,9 +36,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hash_words(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the words of one buffer of bytes."""
-    word = ~SPACE[buffer]
+def hash_words(buffer: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words of one buffer of bytes. ``between`` says of each byte
+    whether it separates words."""
+    word = ~between[buffer]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
@@ -66,7 +67,7 @@ def powers(exponents: np.ndarray) -> np.ndarray:
     return out
 
 
-def text_blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_blocks(texts: pa.Array, between: np.ndarray = SPACE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Slices of about a megabyte of whole texts: the first row, the hashes of their words in order,
     and where each text's words begin among them (one entry more than texts). Null is empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -84,7 +85,7 @@ def text_blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         buffer = np.full(end - begin + stop - row, 32, np.uint8)
         place = np.arange(end - begin) + np.repeat(np.arange(1, stop - row + 1), np.diff(own))
         buffer[place] = data[begin:end]
-        starts, _, hashes = hash_words(buffer)
+        starts, _, hashes = hash_words(buffer, between)
         bounds = np.searchsorted(starts, own + np.arange(stop - row + 1))
         yield row, hashes, bounds
         row = stop
