@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsgauge.llm import bpe, chats, hnsw, jaccard, lexical, lines, ngrams, quality, repair, tiling, urls, warc
+from opsgauge.llm import bpe, chats, hnsw, jaccard, lexical, lines, ngrams, passages, quality, repair, tiling, urls, warc
 from opsgauge.llm.registry import query
 from opsgauge.llm.workspace import Workspace
 
@@ -317,3 +317,35 @@ SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 50
 @query("op12_lexical_search", OP12_SQL)
 def op12(spark, read):
     return lexical.search(spark, read("documents"), read("benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, hex(COALESCE(text, '')) AS h, CAST(strlen(COALESCE(text, '')) AS BIGINT) AS n FROM documents),
+p AS (SELECT doc_id, h, unnest(range(n - {passages.WIDTH - 1})) AS p FROM d),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, {2 * passages.WIDTH}) AS s FROM p),
+r AS (SELECT s, MIN(doc_id) AS first_id FROM w GROUP BY s HAVING MIN(doc_id) < MAX(doc_id)),
+m AS (SELECT w.doc_id, w.p FROM w JOIN r ON r.s = w.s WHERE w.doc_id > r.first_id),
+i AS (SELECT *, COALESCE(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {passages.WIDTH}, TRUE) AS new FROM m),
+j AS (SELECT *, SUM(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM i),
+x AS (SELECT doc_id, MIN(p) AS a, MAX(p) + {passages.WIDTH} AS b FROM j GROUP BY doc_id, span),
+c AS (
+  SELECT d.doc_id, h, COALESCE(lag(b) OVER (PARTITION BY d.doc_id ORDER BY a), 0) AS a, x.a AS b FROM d JOIN x ON x.doc_id = d.doc_id
+  UNION ALL
+  SELECT d.doc_id, ANY_VALUE(h), COALESCE(MAX(b), 0), ANY_VALUE(n) FROM d LEFT JOIN x ON x.doc_id = d.doc_id GROUP BY d.doc_id
+), k AS (SELECT doc_id, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (b - a) AS BIGINT)), '' ORDER BY a) AS kept FROM c GROUP BY doc_id),
+s AS (SELECT doc_id, CAST(SUM(b - a) AS BIGINT) AS n_removed, COUNT(*) AS n_spans FROM x GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, COALESCE(n_removed, 0) AS n_removed, COALESCE(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN k ON k.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id
+"""
+
+
+@query("op11_suffix_array_dedup", OP11_SQL)
+def op11(spark, read):
+    out = passages.remove_repeats(spark, read("documents"))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

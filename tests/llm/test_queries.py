@@ -17,6 +17,7 @@ COLUMNS = {
     8: {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     9: {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     10: {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
+    11: {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
     12: {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
     13: {"conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint", "truncated": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string"},
 }
