@@ -324,8 +324,7 @@ SELECT period, COUNT(DISTINCT ixn_id) AS messages,
             distinct("ixn_id", f"queue_workbin IN {listed(ROUTING_QUEUES)}"), zero=True)} AS within_180_pct
 FROM periods LEFT JOIN (
     SELECT m.*, CASE WHEN ini_resource_time = (
-        SELECT MIN(ini_resource_time) FROM stamped o WHERE o.ixn_id = m.ixn_id
-          AND o.ini_resource_time >= TIMESTAMP '2023-12-25') THEN 1 ELSE 0 END AS is_first
+        SELECT MIN(ini_resource_time) FROM stamped o WHERE o.ixn_id = m.ixn_id) THEN 1 ELSE 0 END AS is_first
     FROM stamped m
 ) m ON {in_period("ini_resource_time")} AND queue_workbin IN {listed(MESSAGE_QUEUES)}
 GROUP BY period
@@ -336,7 +335,7 @@ GROUP BY period
 def message_sla_text(t):
     stamp = F.date_format("ini_resource_time", "yyyy-MMM-dd hh:mm:ss")
     texts = conform(t.raw("messages").withColumn("ini_resource_time", stamp), "messages")
-    return digital.message_sla(texts, EP, MESSAGE_QUEUES, ROUTING_QUEUES, lookback_days=7)
+    return digital.message_sla(texts, EP, MESSAGE_QUEUES, ROUTING_QUEUES)
 
 
 # ---------------------------------------------------------------- alarm
@@ -567,17 +566,10 @@ def field_retention(t):
     return field.field_retention(t("field_retention"), OP, TECHNICIANS)
 
 
-# closing times as text, those of every day of the month ending in 7 unreadable
-@query(
-    "K19_field_retention_text",
-    ORACLES["K19_field_retention"].replace(
-        "SELECT * FROM field_retention JOIN periods",
-        "SELECT * FROM (SELECT * FROM field_retention WHERE day(closing_finishing_date) % 10 <> 7) field_retention JOIN periods",
-    ),
-)
+# closing times as text
+@query("K19_field_retention_text", ORACLES["K19_field_retention"])
 def field_retention_text(t):
-    closed = F.col("closing_finishing_date")
-    text = F.when(F.dayofmonth(closed) % 10 == 7, "not known").otherwise(F.date_format(closed, "yyyy-MM-dd HH:mm:ss"))
+    text = F.date_format("closing_finishing_date", "yyyy-MM-dd HH:mm:ss")
     texts = conform(t.raw("field_retention").withColumn("closing_finishing_date", text), "field_retention")
     return field.field_retention(texts, OP, TECHNICIANS)
 
@@ -864,7 +856,7 @@ FROM periods
     ),
 )
 def cancellation_response(t):
-    return care.cancellation_response(t("tickets_open"), t("tickets_closed"), OP, HOLIDAYS)
+    return care.cancellation_response(t("tickets_open"), t("tickets_closed"), OP, HOLIDAYS).drop("beyond_calendar")
 
 
 @query(
@@ -902,7 +894,7 @@ FROM periods
     ),
 )
 def backlog_age(t):
-    return care.backlog_age(t("tickets_open"), OP, AS_OF, HOLIDAYS)
+    return care.backlog_age(t("tickets_open"), OP, AS_OF, HOLIDAYS).drop("beyond_calendar")
 
 
 IS_ANSWERED = """(COALESCE(technical_result, '') IN ('Completed', 'Transferred', 'Conferenced')
@@ -1000,7 +992,7 @@ FROM grouped GROUP BY period
     ),
 )
 def onboarding_speed(t):
-    return onboarding.onboarding_speed(t("onboarding"), OP, HOLIDAYS)
+    return onboarding.onboarding_speed(t("onboarding"), OP, HOLIDAYS).drop("beyond_calendar")
 
 
 # ---------------------------------------------------------------- self-service
@@ -1144,81 +1136,140 @@ DEPLOYMENT = report.Deployment(
     care_holidays=HOLIDAYS,
     contact_windows=WINDOWS,
 )
-EVENT_PARTS = {"incidences", "guards", "police", "repeat_alarms", "chats", "messages", "contacts", "care_line", "faq"}
-CALL_QUERIES = {
-    "service": "K01_queue_sla",
-    "service_ie": "K01_queue_sla_ie",
-    "alarm": "K03_alarm_call_sla",
-    "support": "K02_department_sla",
-}
-PART_QUERIES = {
-    "calls": tuple(CALL_QUERIES.values()),
-    "incidences": ("K11_alarm_volume", "K12_alarm_response"),
-    "guards": ("K14_guard_callouts",),
-    "police": ("K15_police_callouts",),
-    "repeat_alarms": ("K13_repeat_alarm",),
-    "chats": ("K08_chat_sla",),
-    "messages": ("K10_message_sla",),
-    "escalations": ("K25_escalation_sla",),
-    "contacts": ("K04_first_contact_resolution", "K05_repeat_contact"),
-    "opened_services": ("K16_opened_services",),
-    "closed_services": ("K17_closed_services", "K18_closing_sla"),
-    "adherence": ("K41_schedule_adherence",),
-    "first_time_fix": ("K39_first_time_fix",),
-    "field_backlog": ("K40_field_backlog",),
-    "response": ("K26_cancellation_response",),
-    "care_line": ("K29_care_line", "K30_care_line_ie"),
-    "ticket_backlog": ("K27_ticket_backlog",),
-    "backlog_age": ("K28_backlog_age",),
-    "desk_retention": ("K31_desk_retention",),
-    "field_retention": ("K19_field_retention",),
-    "onboarding": ("K32_onboarding_speed",),
-    "selfservice": ("K33_selfservice_volume", "K35_selfservice_to_field"),
-    "selfservice_share": ("K36_selfservice_share",),
-    "selfservice_agent": ("K37_closed_without_agent",),
-    "backoffice": ("K20_backoffice_volume", "K21_sent_to_field"),
-    "backoffice_backlog": ("K24_backlog_size",),
-    "faq": ("K07_faq_adherence",),
+# The report's rows, by their zero-based number, with the query whose SQL gives the figure.
+REPORT_ROWS = (
+    (6, "alarm_incidences", "alarm", "UK", "K11_alarm_volume", "incidences_uk", "count"),
+    (7, "alarm_agent_incidences", "alarm", "UK", "K11_alarm_volume", "agent_uk", "count"),
+    (8, "alarm_automated_pct", "alarm", "UK", "K11_alarm_volume", "automated_pct_uk", "pct"),
+    (9, "alarm_incidences_ie", "alarm", "IE", "K11_alarm_volume", "incidences_ie", "count"),
+    (10, "alarm_agent_incidences_ie", "alarm", "IE", "K11_alarm_volume", "agent_ie", "count"),
+    (12, "alarm_under_60_pct", "alarm", "UK", "K12_alarm_response", "under_60_pct_uk", "pct"),
+    (13, "alarm_over_180_pct", "alarm", "UK", "K12_alarm_response", "over_180_pct_uk", "pct"),
+    (14, "alarm_under_60_pct_ie", "alarm", "IE", "K12_alarm_response", "under_60_pct_ie", "pct"),
+    (15, "alarm_over_180_pct_ie", "alarm", "IE", "K12_alarm_response", "over_180_pct_ie", "pct"),
+    (17, "alarm_calls", "alarm", "UK", "K03_alarm_call_sla", "accepted", "count"),
+    (18, "alarm_calls_under_40_pct", "alarm", "UK", "K03_alarm_call_sla", "under_40_pct", "pct"),
+    (20, "guard_callouts", "alarm", "UK", "K14_guard_callouts", "guard_callouts", "count"),
+    (21, "guard_under_40_min_pct", "alarm", "UK", "K14_guard_callouts", "under_40_min_pct", "pct"),
+    (22, "police_callouts", "alarm", "UK", "K15_police_callouts", "police_callouts", "count"),
+    (24, "repeat_alarm_pct", "alarm", "UK", "K13_repeat_alarm", "repeat_alarm_pct", "pct"),
+    (26, "service_calls", "service", "UK", "K01_queue_sla", "accepted", "count"),
+    (27, "service_calls_under_40_pct", "service", "UK", "K01_queue_sla", "under_40_pct", "pct"),
+    (28, "service_calls_over_120_pct", "service", "UK", "K01_queue_sla", "over_120_pct", "pct"),
+    (29, "service_calls_abandoned_pct", "service", "UK", "K01_queue_sla", "abandoned_pct", "pct"),
+    (30, "service_calls_ie", "service", "IE", "K01_queue_sla_ie", "accepted", "count"),
+    (31, "service_calls_under_40_pct_ie", "service", "IE", "K01_queue_sla_ie", "under_40_pct", "pct"),
+    (33, "chats", "service", "UK", "K08_chat_sla", "chats", "count"),
+    (34, "chats_under_60_pct", "service", "UK", "K08_chat_sla", "under_60_pct", "pct"),
+    (35, "chats_over_120_pct", "service", "UK", "K08_chat_sla", "over_120_pct", "pct"),
+    (37, "messages", "service", "UK", "K10_message_sla", "messages", "count"),
+    (38, "messages_within_180_pct", "service", "UK", "K10_message_sla", "within_180_pct", "pct"),
+    (40, "escalations", "service", "UK", "K25_escalation_sla", "escalations", "count"),
+    (41, "escalations_under_24h_pct", "service", "UK", "K25_escalation_sla", "under_24h_pct", "pct"),
+    (42, "escalations_under_48h_pct", "service", "UK", "K25_escalation_sla", "under_48h_pct", "pct"),
+    (44, "first_contact_resolution_pct", "service", "UK", "K04_first_contact_resolution", "fcr_pct", "pct"),
+    (45, "repeat_contact_pct", "service", "UK", "K05_repeat_contact", "repeat_pct", "pct"),
+    (47, "field_opened", "field", "UK", "K16_opened_services", "opened_uk", "count"),
+    (48, "field_finalised", "field", "UK", "K17_closed_services", "finalised", "count"),
+    (49, "field_aware", "field", "UK", "K17_closed_services", "aware", "count"),
+    (50, "field_not_aware", "field", "UK", "K17_closed_services", "not_aware", "count"),
+    (51, "field_opened_ie", "field", "IE", "K16_opened_services", "opened_ie", "count"),
+    (53, "field_aware_7_days_pct", "field", "UK", "K18_closing_sla", "aware_in_time_pct", "pct"),
+    (54, "field_not_aware_30_days_pct", "field", "UK", "K18_closing_sla", "not_aware_in_time_pct", "pct"),
+    (55, "field_aware_7_days_pct_ie", "field", "IE", "K18_closing_sla", "aware_in_time_pct_ie", "pct"),
+    (57, "schedule_adherence_pct", "field", "UK", "K41_schedule_adherence", "adherence_pct", "pct"),
+    (59, "first_time_fix_pct", "field", "UK", "K39_first_time_fix", "first_time_fix_pct", "pct"),
+    (61, "field_backlog_pct", "field", "UK", "K40_field_backlog", "backlog_pct", "pct"),
+    (62, "field_backlog_aware", "field", "UK", "K40_field_backlog", "aware", "count"),
+    (63, "field_backlog_aware_age", "field", "UK", "K40_field_backlog", "aware_age", "days"),
+    (64, "field_backlog_not_aware", "field", "UK", "K40_field_backlog", "not_aware", "count"),
+    (65, "field_backlog_not_aware_age", "field", "UK", "K40_field_backlog", "not_aware_age", "days"),
+    (67, "tickets_opened", "care", "UK", "K26_cancellation_response", "opened", "count"),
+    (68, "tickets_closed", "care", "UK", "K26_cancellation_response", "closed", "count"),
+    (69, "tickets_opened_ie", "care", "IE", "K26_cancellation_response", "opened_ie", "count"),
+    (71, "ticket_response_pct", "care", "UK", "K26_cancellation_response", "response_pct", "pct"),
+    (72, "ticket_response_pct_ie", "care", "IE", "K26_cancellation_response", "response_pct_ie", "pct"),
+    (74, "care_answered_under_40", "care", "UK", "K29_care_line", "answered_under_40", "count"),
+    (75, "care_under_40_pct", "care", "UK", "K29_care_line", "under_40_pct", "pct"),
+    (76, "care_over_120_pct", "care", "UK", "K29_care_line", "over_120_pct", "pct"),
+    (77, "care_abandoned", "care", "UK", "K29_care_line", "abandoned", "count"),
+    (78, "care_abandoned_over_10_pct", "care", "UK", "K29_care_line", "abandoned_over_10_pct", "pct"),
+    (79, "care_calls_ie", "care", "IE", "K30_care_line_ie", "calls_ie", "count"),
+    (80, "care_under_40_pct_ie", "care", "IE", "K30_care_line_ie", "under_40_pct_ie", "pct"),
+    (82, "ticket_backlog", "care", "UK", "K27_ticket_backlog", "backlog", "count"),
+    (83, "ticket_backlog_pct", "care", "UK", "K27_ticket_backlog", "backlog_pct", "pct"),
+    (84, "ticket_backlog_age", "care", "UK", "K28_backlog_age", "mean_age", "days"),
+    (85, "ticket_backlog_pct_ie", "care", "IE", "K27_ticket_backlog", "backlog_pct_ie", "pct"),
+    (87, "desk_retention_pct", "care", "UK", "K31_desk_retention", "retention_pct", "pct"),
+    (88, "field_retention_pct", "care", "UK", "K19_field_retention", "retention_pct", "pct"),
+    (91, "onboarding_installations", "onboarding", "UK", "K32_onboarding_speed", "installations", "count"),
+    (93, "onboarding_under_5_days_pct", "onboarding", "UK", "K32_onboarding_speed", "under_5_days_pct", "pct"),
+    (95, "selfservice_opened", "selfservice", "UK", "K33_selfservice_volume", "opened", "count"),
+    (96, "selfservice_finalised", "selfservice", "UK", "K33_selfservice_volume", "finalised", "count"),
+    (98, "selfservice_share_of_field_pct", "selfservice", "UK", "K36_selfservice_share", "share_pct", "pct"),
+    (99, "selfservice_no_agent_pct", "selfservice", "UK", "K37_closed_without_agent", "no_agent_pct", "pct"),
+    (101, "selfservice_backlog", "selfservice", "UK", "K33_selfservice_volume", "backlog", "count"),
+    (103, "selfservice_to_field_pct", "selfservice", "UK", "K35_selfservice_to_field", "to_field_pct", "pct"),
+    (105, "backoffice_received", "backoffice", "UK", "K20_backoffice_volume", "received_uk", "count"),
+    (106, "backoffice_sent_to_field_pct", "backoffice", "UK", "K21_sent_to_field", "sent_to_field_pct", "pct"),
+    (107, "backoffice_received_ie", "backoffice", "IE", "K20_backoffice_volume", "received_ie", "count"),
+    (111, "backoffice_panel_backlog", "backoffice", "UK", "K24_backlog_size", "panel_backlog", "count"),
+    (112, "backoffice_panel_backlog_pct", "backoffice", "UK", "K24_backlog_size", "panel_pct", "pct"),
+    (113, "backoffice_device_backlog", "backoffice", "UK", "K24_backlog_size", "device_backlog", "count"),
+    (114, "backoffice_device_backlog_pct", "backoffice", "UK", "K24_backlog_size", "device_pct", "pct"),
+    (116, "support_calls", "support", "UK", "K02_department_sla", "accepted", "count"),
+    (118, "support_calls_under_40_pct", "support", "UK", "K02_department_sla", "under_40_pct", "pct"),
+    (119, "support_calls_abandoned_pct", "support", "UK", "K02_department_sla", "abandoned_pct", "pct"),
+    (121, "faq_adherence_pct", "support", "UK", "K07_faq_adherence", "adherence_pct", "pct"),
+)
+EVENT_PARTS = {"alarms", "guards", "police", "chats", "messages", "contacts", "care_line", "faq"}
+ORDER_PARTS = {
+    "calls", "escalations", "opened_services", "adherence", "first_time_fix", "field_backlog", "tickets",
+    "desk_retention", "field_retention", "onboarding", "work", "backoffice", "backoffice_backlog",
 }
-PERIODS = {part: EP if part in EVENT_PARTS else OP for part in PART_QUERIES}
+PERIODS = {**dict.fromkeys(EVENT_PARTS, EP), **dict.fromkeys(ORDER_PARTS, OP)}
 
 
 def parts_of(t):
     return report.report_parts(t.raw, PERIODS, DEPLOYMENT, AS_OF)
 
 
-def long_sql() -> str:
-    """The measures' own SQL, one row per measure and period."""
+def long_sql(printed: bool = False) -> str:
+    """The measures' own SQL, one row per measure and period; as printed, without roundings that only
+    the comparison of numbers needs."""
     from catalog.registry import ORACLES
 
+    def value(key: str, column: str) -> tuple[str, str]:
+        if not printed:
+            return f"round_even(CAST({column} AS DOUBLE), 6)", ORACLES[key]
+        body = ORACLES[key]
+        if "* 100, 9)" in body:
+            body = body.replace("* 100, 9)", "* 100)").replace("round_even(CO", "(CO")
+        return f"CAST({column} AS DOUBLE)", body
+
     rows = []
-    for row, kpi, area, region, part, column, unit in report.CATALOGUE:
-        keys = PART_QUERIES[part]
-        if part == "calls":
-            group = max((g for g in CALL_QUERIES if column.startswith(g)), key=len)
-            keys, column = (CALL_QUERIES[group],), column.removeprefix(f"{group}_")
-        body = next(ORACLES[k] for k in keys if f"AS {column}" in ORACLES[k] or f", {column}" in ORACLES[k])
-        value = f"round_even(CAST({column} AS DOUBLE), 6)"
+    for row, kpi, area, region, key, column, unit in REPORT_ROWS:
+        shown, body = value(key, column)
         rows.append(
             f"SELECT {row} AS row, '{kpi}' AS kpi_id, '{area}' AS area, '{region}' AS region, "
-            f"{value} AS value, '{unit}' AS unit, period FROM ({body})"
+            f"{shown} AS value, '{unit}' AS unit, period FROM ({body})"
         )
     return "\nUNION ALL\n".join(rows)
 
 
 @query("K42_report", long_sql())
 def report_long(t):
-    return report.report(parts_of(t)).withColumn("value", round_even(F.col("value"), 6))
+    return report.report(parts_of(t)).withColumn("value", round_even(F.col("value"), 6)).drop("note")
 
 
 @query(
     "K42_report_pivot",
     f"""
 SELECT row, kpi_id, area, region, {", ".join(f'''MAX(CASE WHEN period = '{p.label}' THEN
-       CASE unit WHEN 'pct' THEN CAST(round_even(value, 2) AS VARCHAR) || '%'
+       CASE unit WHEN 'pct' THEN CAST(value AS VARCHAR) || '%'
                  WHEN 'count' THEN CAST(CAST(value AS BIGINT) AS VARCHAR) ELSE CAST(value AS VARCHAR) END END) AS "{p.label}"'''
     for p in OP)}
-FROM ({long_sql()}) GROUP BY ALL
+FROM ({long_sql(printed=True)}) GROUP BY ALL
 """,
 )
 def report_pivot(t):

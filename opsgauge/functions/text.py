@@ -56,6 +56,7 @@ def line_code(c: Column) -> Column:
     return to_text(to_int(c, 0))
 
 
-def as_percent_text(c: Column) -> Column:
-    """12.5 -> "12.5%"."""
-    return F.concat(round_even(c).cast("string"), F.lit("%"))
+def as_percent_text(c: Column, places: int | None = 2) -> Column:
+    """12.5 -> "12.5%". With places=None the number is not rounded."""
+    number = c if places is None else round_even(c, places)
+    return F.concat(number.cast("string"), F.lit("%"))

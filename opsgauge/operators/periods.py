@@ -69,31 +69,57 @@ def in_lookback(df: DataFrame, col: str, end: str, days: int, closed: bool, mode
     return F.expr(_within_days_before(df.schema[col].dataType, col, end, days, closed, mode))
 
 
-def _labelled(df: DataFrame, tests: Sequence[tuple[str, str]], bounds: str) -> DataFrame:
-    names = ", ".join(f"CASE WHEN {test} THEN {_text(label)} END" for label, test in tests)
-    return df.filter(bounds).withColumn("period", F.expr(f"explode(array({names}))")).filter("period IS NOT NULL")
+@dataclass(frozen=True)
+class Slices:
+    """The rows that each period takes of an input, as SQL tests by label, and a wider test that all of
+    them imply, with plain literals, so that it prunes files and row groups in the scan."""
+
+    tests: tuple[tuple[str, str], ...]
+    bounds: str
+
+
+def period_slices(df: DataFrame, col: str, periods: Sequence[Period], mode: str = "date") -> Slices:
+    """The rows dated in each period."""
+    lo, hi = min(p.start for p in periods), max(p.end for p in periods)
+    dtype = df.schema[col].dataType
+    tests = tuple((p.label, _within(dtype, col, p.start, p.end, mode)) for p in periods)
+    return Slices(tests, _within(dtype, col, lo, hi, mode))
+
+
+def lookback_slices(
+    df: DataFrame, col: str, periods: Sequence[Period], days: int, closed: bool, mode: str = "date"
+) -> Slices:
+    """The rows dated in the `days` before the end of each period."""
+    lo, hi = min(_day(p.end, -days) for p in periods), max(p.end for p in periods)
+    dtype = df.schema[col].dataType
+    tests = tuple((p.label, _within_days_before(dtype, col, p.end, days, closed, mode)) for p in periods)
+    return Slices(tests, _within(dtype, col, lo, hi, mode))
+
+
+def undated_slices(periods: Sequence[Period]) -> Slices:
+    """All rows for every period."""
+    return Slices(tuple((p.label, "TRUE") for p in periods), "TRUE")
+
+
+def _labelled(df: DataFrame, slices: Slices) -> DataFrame:
+    names = ", ".join(f"CASE WHEN {test} THEN {_text(label)} END" for label, test in slices.tests)
+    return df.filter(slices.bounds).withColumn("period", F.expr(f"explode(array({names}))")).filter("period IS NOT NULL")
 
 
 def assign_periods(df: DataFrame, col: str, periods: Sequence[Period], mode: str = "date") -> DataFrame:
     """One row per period that holds the row's date, in a single pass over the input.
 
-    The outer bounds of all periods are tested first, with plain literals, so they prune files
-    and row groups in the scan. A row in two overlapping periods appears twice.
+    The outer bounds of all periods are tested first, so they reach the scan. A row in two
+    overlapping periods appears twice.
     """
-    lo, hi = min(p.start for p in periods), max(p.end for p in periods)
-    dtype = df.schema[col].dataType
-    tests = [(p.label, _within(dtype, col, p.start, p.end, mode)) for p in periods]
-    return _labelled(df, tests, _within(dtype, col, lo, hi, mode))
+    return _labelled(df, period_slices(df, col, periods, mode))
 
 
 def assign_lookbacks(
     df: DataFrame, col: str, periods: Sequence[Period], days: int, closed: bool, mode: str = "date"
 ) -> DataFrame:
     """As assign_periods, with each period replaced by the `days` before its end."""
-    lo, hi = min(_day(p.end, -days) for p in periods), max(p.end for p in periods)
-    dtype = df.schema[col].dataType
-    tests = [(p.label, _within_days_before(dtype, col, p.end, days, closed, mode)) for p in periods]
-    return _labelled(df, tests, _within(dtype, col, lo, hi, mode))
+    return _labelled(df, lookback_slices(df, col, periods, days, closed, mode))
 
 
 def since_and_until(df: DataFrame, col: str, periods: Sequence[Period], days: int | None = None) -> DataFrame:
@@ -106,6 +132,11 @@ def since_and_until(df: DataFrame, col: str, periods: Sequence[Period], days: in
     return df
 
 
+def span_of(periods: Sequence[Period], days: int = 0) -> tuple[str, str]:
+    """The first and the last day of all periods and of the `days` before their starts and ends."""
+    return _day(min(p.start for p in periods), -days), max(p.end for p in periods)
+
+
 def assign_period_table(df: DataFrame, col: str, periods: DataFrame) -> DataFrame:
     """Membership when the periods are a table (period, start_date, end_date) of any length.
 

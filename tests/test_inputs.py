@@ -9,7 +9,7 @@ from opsgauge.functions.bizdays import business_days
 from opsgauge.operators.periods import Period, assign_period_table, since_and_until
 from opsgauge.operators.sets import hconcat
 from opsgauge.plans import alarm, care, contacts, digital, onboarding
-from opsgauge.sources.schemas import conform, lost_values
+from opsgauge.sources.schemas import conform, lost_values, schema_of
 from opsgauge.sources.tables import jdbc_options
 
 WEEK = [Period("Week", "2025-12-08", "2025-12-14")]
@@ -77,7 +77,25 @@ def test_only_the_years_of_counted_spans_need_holidays(spark):
     schema = "installation_number string, installation_date timestamp, min_comp_attempt_date timestamp"
     rows = [("1", dt.datetime(2025, 12, 8), dt.datetime(2025, 12, 10)), ("2", dt.datetime(2019, 1, 1), dt.datetime(2019, 1, 9))]
     out = onboarding.onboarding_speed(spark.createDataFrame(rows, schema), WEEK, ["2025-12-25"]).first()
-    assert out["installations"] == 1
+    assert out["installations"] == 1 and out["beyond_calendar"] == 0
+
+
+def test_spans_beyond_the_calendar_make_their_measure_null(spark):
+    """One odd date hides the figure that it would falsify, and is counted."""
+    schema = "installation_number string, installation_date timestamp, min_comp_attempt_date timestamp"
+    rows = [("1", dt.datetime(2025, 12, 8), dt.datetime(2025, 12, 10)), ("2", dt.datetime(1990, 1, 1), dt.datetime(2025, 12, 10))]
+    out = onboarding.onboarding_speed(spark.createDataFrame(rows, schema), WEEK, ["2025-12-25"]).first().asDict()
+    assert out == {"period": WEEK[0].label, "installations": None, "under_5_days_pct": None, "beyond_calendar": 1}
+    tickets = [("a", dt.date(1990, 1, 1), None, "CANC", "UK"), ("b", dt.date(2025, 12, 9), None, "CANC", "UK")]
+    opened = spark.createDataFrame(tickets, schema_of("tickets_open"))
+    aged = care.backlog_age(opened, WEEK, "2025-12-15", ["2025-12-25"]).first()
+    assert (aged["mean_age"], aged["beyond_calendar"]) == (None, 1)
+    assert care.backlog_age(opened.filter("ticker_number = 'b'"), WEEK, "2025-12-15", ["2025-12-25"]).first()["mean_age"] == 4.0
+    closed = spark.createDataFrame(
+        [("a", dt.datetime(2025, 12, 9), None, dt.datetime(2031, 1, 1), "e", "CLOSED", "v", "r", "CANC", "UK")], schema_of("tickets_closed")
+    )
+    answer = care.cancellation_response(opened, closed, WEEK, ["2025-12-25"]).first()
+    assert (answer["opened"], answer["closed"], answer["response_pct"], answer["beyond_calendar"]) == (1, None, None, 1)
 
 
 def test_database_tables_need_their_partitioning():
