@@ -52,6 +52,21 @@ def _carry(df: DataFrame, shift: int, reach: int, needed: Sequence[str]) -> Data
     )
 
 
+# Rows and an aggregate over them come from one exchange, made once, if both read the same columns of
+# it. A consumer that needs few columns would make the rows read less, so both read all of them.
+
+
+def _reading(df: DataFrame, own: Column | None = None) -> Column:
+    """Not null for a group that holds rows (of its own); reads every column."""
+    seen = F.hash(*df.columns)
+    return F.max(seen if own is None else F.when(own, seen))
+
+
+def _read(df: DataFrame) -> Column:
+    """True for every row; reads every column."""
+    return F.hash(*df.columns) >= F.lit(-(2**31))
+
+
 def burst_dedupe(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,14 +107,16 @@ def forward_counts(
 
     `counts` names each result and the further columns that its rows must share beside
     `keys`; null equals null in those. All results use one spread of the rows. The horizon
-    must be a multiple of the slot. A row with a null in `keys` has no peers: count 0.
+    must be a multiple of the slot. A row with a null in `keys` has no peers: count 0. All columns of
+    `df` go through the exchange of the windows: give it no more than are wanted.
     """
     reach, rest = divmod(horizon_us, slot_us)
     if rest or reach < 1:
         raise ValueError("the horizon must be a multiple of the slot")
     extra = sorted({c for cols in counts.values() for c in cols})
     base = df.withColumn("_us", micros(F.col(ts))).withColumn("_home", _slot_of(ts, slot_us))
-    spread = _carry(base, -reach, -horizon_us, [*keys, *extra, mark])
+    # one exchange for the rows and for the totals of their slots
+    spread = dealt = _carry(base, -reach, -horizon_us, [*keys, *extra, mark]).repartition(*keys, "_slot")
     zero = F.lit(0)
     value = F.coalesce(F.col(mark), zero)
     value_own = F.when(F.col("_own"), value).otherwise(zero)
@@ -118,21 +135,24 @@ def forward_counts(
             + F.coalesce(F.sum(value_far).over(upto), zero)
         )
         spread = spread.withColumn(name, edges)
-    rows = spread.filter("_own")
+    rows = spread.filter(F.col("_own") & _read(dealt))
 
     if reach > 1:
-        # the finest totals are taken from the rows, coarser ones from them
-        finest = base.groupBy(*keys, *extra, "_home").agg(F.sum(mark).alias("_n"))
+        # the finest totals are taken from the rows where these have been dealt, coarser ones from them
+        finest = dealt.groupBy(*keys, *extra, "_slot").agg(
+            F.sum(value_own).alias("_n"), _reading(dealt, F.col("_own")).alias("_seen")
+        )
+        finest = finest.filter("_seen IS NOT NULL")
         for name, cols in counts.items():
             total = finest
             if sorted(cols) != extra:
-                total = finest.groupBy(*keys, *cols, "_home").agg(F.sum("_n").alias("_n"))
+                total = finest.groupBy(*keys, *cols, "_slot").agg(F.sum("_n").alias("_n"))
             between = (
-                Window.partitionBy(*keys, *cols).orderBy("_home").rangeBetween(1, reach - 1)
+                Window.partitionBy(*keys, *cols).orderBy("_slot").rangeBetween(1, reach - 1)
             )
             inner = total.select(
                 *[F.col(c).alias(f"_k{i}") for i, c in enumerate([*keys, *cols])],
-                F.col("_home").alias("_kslot"),
+                F.col("_slot").alias("_kslot"),
                 F.sum("_n").over(between).alias("_between"),
             ).filter(F.col("_between") > 0)
             test = rows["_slot"] == inner["_kslot"]
@@ -200,15 +220,19 @@ def place_in_group(
 ) -> DataFrame:
     """Row number within the key, ordered by time and the further columns.
 
-    The number within the slot plus the size of all earlier slots of the key.
+    The number within the slot plus the size of all earlier slots of the key. Rows are dealt once, by
+    key and slot; the sizes are taken from them there.
     """
-    rows = df.withColumn("_slot", _slot_of(ts, slot_us))
-    sizes = rows.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.withColumn("_slot", _slot_of(ts, slot_us)).repartition(*keys, "_slot")
+    sizes = rows.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"), _reading(rows).alias("_seen"))
+    sizes = sizes.filter("_seen IS NOT NULL")
     earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     ahead = sizes.select(*keys, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_ahead"))
     local = F.row_number().over(Window.partitionBy(*keys, "_slot").orderBy(ts, *then_by))
-    joined = _attach(rows.withColumn("_local", local), ahead, keys)
-    return joined.withColumn(out, F.col("_local") + F.col("_ahead")).drop("_slot", "_local", "_ahead")
+    # null equals null here: a test that drops nulls would be made on one side of the exchange only
+    joined = _attach(rows.withColumn("_local", local).filter(_read(rows)), ahead, keys, null_safe=True)
+    place = F.when(_all_known(keys), F.col("_local") + F.col("_ahead"))
+    return joined.withColumn(out, place).drop("_slot", "_local", "_ahead")
 
 
 def has_previous(
