@@ -29,9 +29,11 @@ def parse_ts(c: Column, layout: str = ISO, strict: bool = False) -> Column:
 
 def parse_any(c: Column, layouts: Sequence[str], strict: bool = False) -> Column:
     """Text to timestamp by the first layout that fits, or as a plain timestamp text. Text that fits
-    none is null, or an error when strict."""
+    none is null, or an error when strict. A time of day alone is no timestamp: its day would be that
+    of the run."""
     tried = [parse_ts(c, layout) for layout in layouts]
-    found = F.coalesce(*tried, c.try_cast("timestamp"))
+    dated = F.when(c.rlike(r"^[\x00-\x20]*\+?\d{4}"), c.try_cast("timestamp"))
+    found = F.coalesce(*tried, dated)
     if not strict:
         return found
     complaint = F.raise_error(F.concat(F.lit("not a time: "), c))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from opsgauge.functions.clock import DAY_FIRST, DAY_FIRST_12H, DAY_FIRST_DAY, DAY_FIRST_MINUTES, MONTH_NAME_12H, parse_any
 from opsgauge.operators.clean import clean_headers
+from opsgauge.sources.text_times import may_be_within
 
 # Column names and types of the logical inputs.
 SCHEMAS = {
@@ -174,9 +175,15 @@ def lost_values(df: DataFrame, name: str, layouts: Layouts | None = None) -> Dat
     return plain.agg(F.array(*counts).alias("all")).selectExpr("inline(all)")
 
 
-def conform(df: DataFrame, name: str, layouts: Layouts | None = None) -> DataFrame:
+def conform(
+    df: DataFrame, name: str, layouts: Layouts | None = None, within: tuple[str, str, str] | None = None
+) -> DataFrame:
     """Bring a table to its declared columns and types; a missing column is an error.
 
+    `within` (column, first day, last day) says that only rows of that span are wanted. It is used
+    where the column is kept as text: rows whose text cannot be a time of the span are left out by a
+    test that reaches the file scan, before any text is parsed (or found to be unreadable).
+
     Dates and timestamps stay as they are stored, whatever mix of them is declared: period
     tests accept each of them, and a cast would keep the test from reaching the file scan.
     Texts in their place are parsed; `layouts` gives, by "input.column", the layouts to try.
@@ -187,6 +194,11 @@ def conform(df: DataFrame, name: str, layouts: Layouts | None = None) -> DataFra
     if missing:
         raise ValueError(f"table {name} lacks {', '.join(missing)}")
 
+    if within is not None and isinstance(plain.schema[within[0]].dataType, T.StringType):
+        tried = {**LAYOUTS, **(layouts or {})}.get(f"{name}.{within[0]}", ())
+        test = may_be_within(F.col(within[0]), tried, *within[1:])
+        plain = plain if test is None else plain.filter(test)
+
     def column(field: T.StructField):
         have = plain.schema[field.name].dataType
         same = have == field.dataType or (isinstance(have, MOMENTS) and isinstance(field.dataType, MOMENTS))
