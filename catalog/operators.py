@@ -10,9 +10,9 @@ from catalog.standins import with_inputs
 from opsgauge import fixed_values as V
 from opsgauge.functions import bizdays, clock, ratio, text
 from opsgauge.functions.clock import DAY_US, HOUR_US
-from opsgauge.operators import aggregates, clean, joins, periods, predicates, sets, windows
+from opsgauge.operators import aggregates, bitmaps, clean, joins, periods, predicates, sets, windows
 from opsgauge.plans import digital, field, report
-from opsgauge.sources import tables
+from opsgauge.sources import report_table, tables
 
 STRIP = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 
@@ -102,7 +102,25 @@ UNION ALL SELECT 51, 'field_opened_ie', 'field', 'IE', CAST(ie AS DOUBLE), 'coun
 )
 def report_rows(t):
     """The rows that write_report stores; the sink itself is exercised by the tests."""
-    return report.report({"opened_services": field.opened_services(t("services_opened"), OP)})
+    return report.report({"opened_services": field.opened_services(t("services_opened"), OP)}).drop("note")
+
+
+@query(
+    "S06_report_history",
+    """
+WITH n AS (
+    SELECT CAST(o_custkey % 7 AS INT) AS run, o_orderpriority AS period, COUNT(*) AS value
+    FROM orders WHERE NOT (starts_with(o_orderpriority, '1') AND o_custkey % 7 > 3) GROUP BY ALL
+)
+SELECT run, period, value FROM n WHERE run <= 5 QUALIFY run = MAX(run) OVER (PARTITION BY period)
+""",
+)
+def report_history(t):
+    """Rows of the newest run of each period, as after run 5."""
+    run = (F.col("o_custkey") % 7).cast("int")
+    kept = t.table("orders").filter(~(F.col("o_orderpriority").startswith("1") & (run > 3)))
+    counts = kept.groupBy(run.alias("run"), F.col("o_orderpriority").alias("period")).agg(F.count(F.lit(1)).alias("value"))
+    return report_table.newest(counts, until_run=5)
 
 
 # ---------------------------------------------------------------- projections, cleaning, filters
@@ -722,6 +740,46 @@ def distinct_count(t):
     return aggregates.nunique(t.table("lineitem"), "l_partkey", alias="parts")
 
 
+# a text key, numbered first
+@query(
+    "A03_mergeable_distinct_count",
+    with_inputs(
+        "services_closed",
+        f"""
+SELECT period, COUNT(DISTINCT code_maintenance_ibs) AS codes,
+       COUNT(DISTINCT CASE WHEN status_maintenance = 'FINL' THEN code_maintenance_ibs END) AS finished,
+       COUNT(DISTINCT CASE WHEN req_by = 'GTI' THEN code_maintenance_ibs END) AS internal
+FROM periods LEFT JOIN services_closed ON {in_period("closing_finishing_date")} GROUP BY period
+""",
+        OP,
+    ),
+)
+def mergeable_distinct_count(t):
+    rows = t("services_closed")
+    rows = rows.join(bitmaps.numbered(rows, "code_maintenance_ibs"), "code_maintenance_ibs")
+    marks = {"codes": None, "finished": F.col("status_maintenance") == "FINL", "internal": F.col("req_by") == "GTI"}
+    days = bitmaps.day_partials(rows, "closing_finishing_date", "id", **marks)
+    return bitmaps.period_counts(days, OP, list(marks))
+
+
+# weeks, months and years from the same days; whole numbers need no numbering
+@query(
+    "A02_distinct_roll_up",
+    """
+SELECT unit, strftime(date_trunc(unit, o_orderdate), '%Y-%m-%d') AS start, COUNT(DISTINCT o_custkey) AS customers,
+       COUNT(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_custkey END) AS finished
+FROM orders, (VALUES ('week'), ('month'), ('year')) AS u(unit) GROUP BY ALL
+""",
+)
+def distinct_roll_up(t):
+    marks = {"customers": None, "finished": F.col("o_orderstatus") == "F"}
+    orders = t.table("orders").withColumn("id", F.col("o_custkey") + 1)
+    days = bitmaps.day_partials(orders, "o_orderdate", "id", **marks)
+    units = F.array(*[F.struct(F.lit(u).alias("unit"), clock.fmt_date(F.date_trunc(u, "day")).alias("start")) for u in ("week", "month", "year")])
+    spread = days.select("*", F.inline(units))
+    return bitmaps.counted(spread, ["unit", "start"], list(marks))
+
+
 @query(
     "A04_grouped_distinct_count",
     "SELECT l_linenumber, COUNT(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY l_linenumber",

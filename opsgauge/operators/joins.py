@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def enrich(fact: DataFrame, dim: DataFrame, left: str, right: str, null_safe: bool = False) -> DataFrame:
@@ -64,8 +64,11 @@ def any_label(df: DataFrame, key: str | list[str], **labels: Column) -> DataFram
 def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """All rows that hold their key's largest value; ties are kept.
 
-    Spark drops all but the top rank in every map task before it shuffles.
+    Two steps: the largest value of each key, combined before the shuffle, then a semi-join on key and
+    value. Rows that tie on a hot key never have to meet in one task: they stay where they are when Spark
+    broadcasts the largest values, and a join by shuffle splits them where they pile up.
     """
-    place = F.rank().over(Window.partitionBy(key).orderBy(F.col(order).desc_nulls_last()))
-    kept = df.dropna(subset=[key, order]).withColumn("_place", place).filter(F.col("_place") == 1)
-    return kept.drop("_place")
+    known = df.dropna(subset=[key, order])
+    largest = known.groupBy(F.col(key).alias("_key")).agg(F.max(order).alias("_largest"))
+    test = (known[key] == largest["_key"]) & (known[order] == largest["_largest"])
+    return known.join(largest, test, "left_semi")

@@ -22,9 +22,9 @@ def run_report(
     path: str,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Compute every measure for every period, store the rows by period, and return the table.
+    """Compute every measure for every period, store the rows as a new run, and return the report.
 
-    Periods stored before and not computed now stay as they are.
+    Periods stored before and not computed now stay as they are; earlier runs can still be read.
     """
     apply_settings(spark)
     write_report(report(report_parts(source, periods, deployment, as_of)), path, fmt)

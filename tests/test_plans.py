@@ -61,17 +61,38 @@ def test_all_periods_share_one_scan(spark, sf_dir):
     assert "Join" not in text
 
 
-@pytest.mark.parametrize("operator", ["latest", "first"])
-def test_top_rows_are_picked_before_the_shuffle(spark, sf_dir, operator):
+def test_first_rows_are_picked_before_the_shuffle(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    if operator == "latest":
-        text = plan(joins.latest_per_key(orders, "o_custkey", "o_orderdate"))
-    else:
-        text = plan(aggregates.dedupe_first(orders, "o_custkey", [F.col("o_orderkey")]))
+    text = plan(aggregates.dedupe_first(orders, "o_custkey", [F.col("o_orderkey")]))
     # plans print from the last step to the first, so the early limit comes after the exchange
     assert text.index("Exchange") < text.rindex("WindowGroupLimit")
 
 
+def test_ties_of_a_hot_key_do_not_meet(spark):
+    """A third of all rows tie for the newest of one key: the join by shuffle splits them."""
+    rows = spark.range(600_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000 + 1).alias("k"),
+        F.when(F.col("id") % 3 == 0, 9).otherwise(F.col("id") % 7).alias("o"),
+        F.sha2(F.col("id").cast("string"), 512).alias("text"),
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        latest = joins.latest_per_key(rows, "k", "o")
+        assert "Window" not in plan(latest)
+        by_task = latest.groupBy("k", F.spark_partition_id().alias("task")).agg(F.count("text").alias("n"), F.max("text"))
+        split = [r["n"] for r in by_task.collect() if r["k"] == 0]
+        assert len(split) > 4 and sum(split) == 200_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_distinct_counts_combine_before_the_shuffle(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     text = plan(aggregates.distinct_counts(items, "l_partkey", ["l_linenumber"], n=None, a=F.col("l_tax") > 0))
@@ -89,3 +110,30 @@ def test_windows_spread_a_key_over_slots(spark, sf_dir):
 def test_report_reads_the_call_intervals_once(spark, sf_dir):
     text = plan(QUERIES["K42_report"](spark, sf_dir))
     assert len([s for s in scans(text) if "l_discount" in s[1] and "l_quantity" in s[1] and "l_tax" in s[1]]) == 1
+
+
+def final_plan(df):
+    """The plan that ran, with exchanges made once shown as reused."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("key", ["K04_first_contact_resolution", "K05_repeat_contact"])
+def test_bursts_are_judged_once(spark, sf_dir, key):
+    """The rows of the windows and the totals of their slots come from one exchange."""
+    text = final_plan(QUERIES[key](spark, sf_dir))
+    assert text.count("Scan parquet") == 1
+    # a burst window is one over the largest number
+    assert len(re.findall(r"Window \[.*max\(", text)) == 2
+    assert "ReusedExchange" in text
+
+
+def test_place_in_group_deals_rows_once(spark, sf_dir):
+    from opsgauge.operators.aggregates import dedupe_first
+    from opsgauge.operators.windows import place_in_group
+
+    orders = dedupe_first(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey", [F.col("o_orderdate")])
+    text = final_plan(place_in_group(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"]))
+    # one that deduplicates, one within slots, one over slots
+    assert len(re.findall(r"\bWindow \[", text)) == 3
+    assert text.count("Scan parquet") == 1 and "ReusedExchange" in text

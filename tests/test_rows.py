@@ -221,6 +221,24 @@ def test_report_keeps_other_periods(spark, tmp_path, fmt, rows):
     assert rows(got) == rows(week.withColumn("value", F.lit(5.0)).unionByName(month))
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_report_as_of_each_run(spark, tmp_path, fmt):
+    """A repeated run can be undone, and a failed one leaves nothing."""
+    path = str(tmp_path / "report")
+    schema = "row int, kpi_id string, area string, region string, value double, unit string, period string"
+    kpis = lambda value, *periods: spark.createDataFrame([(1, "k", "a", "UK", value, "count", p) for p in periods], schema)
+    assert report_table.last_run(spark, path, fmt) == 0
+    assert report_table.write_report(kpis(1.0, "Week", "Month"), path, fmt) == 1
+    assert report_table.write_report(kpis(2.0, "Week"), path, fmt) == 2
+    with pytest.raises(Exception, match="boom"):
+        report_table.write_report(kpis(9.0, "Month").withColumn("value", F.raise_error(F.lit("boom")).cast("double")), path, fmt)
+    assert report_table.write_report(kpis(3.0, "Week"), path, fmt) == 3
+    values = lambda until: {r.period: r.value for r in report_table.read_report(spark, path, fmt, until).collect()}
+    assert [values(n) for n in (1, 2, 3, None)] == [{"Week": 1.0, "Month": 1.0}, {"Week": 2.0, "Month": 1.0}] + [{"Week": 3.0, "Month": 1.0}] * 2
+    with pytest.raises(ValueError, match="3 is the newest"):
+        report_table.write_report(kpis(4.0, "Week"), path, fmt, run=2)
+
+
 def test_ratio_of_the_first_year(spark):
     from opsgauge.plans import calls
 
