@@ -731,7 +731,7 @@ def closing_brackets(t):
 
 BASE = """
 , active AS (
-    SELECT installation_number FROM portfolio
+    SELECT COALESCE(installation_number, '') AS installation_number FROM portfolio
     WHERE panel_group IS DISTINCT FROM 'ERROR' AND (
         (trim(monitoring_status) = 'OP' AND trim(contract_status) IN ('CUEM', 'CUOP', 'GRAT'))
      OR (trim(monitoring_status) = 'STBY' AND trim(contract_status) IN ('CUEM', 'CUOP', 'STBY'))
@@ -739,7 +739,7 @@ BASE = """
      OR (trim(monitoring_status) IN ('EDOC', 'INST', 'N/A') AND trim(contract_status) = 'CUOP'))
 ), base AS (
     SELECT COUNT(DISTINCT installation_number) AS panel_base,
-           COUNT(DISTINCT CASE WHEN installation_number IN (SELECT ins_no FROM devices WHERE device = 'FG')
+           COUNT(DISTINCT CASE WHEN installation_number IN (SELECT COALESCE(ins_no, '') FROM devices WHERE device = 'FG')
                                THEN installation_number END) AS device_base
     FROM active
 )

@@ -216,7 +216,7 @@ SELECT CAST(l_orderkey AS STRING) || ' ' AS incidence_number, l_shipdate AS inci
 FROM {lineitem}
 """,
     "portfolio": """
-SELECT CAST(c_custkey AS STRING) AS installation_number,
+SELECT CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE CAST(c_custkey AS STRING) END AS installation_number,
        CASE c_mktsegment WHEN 'BUILDING' THEN ' OP' WHEN 'FURNITURE' THEN 'STBY '
             WHEN 'MACHINERY' THEN 'XCAN' WHEN 'HOUSEHOLD' THEN 'EDOC' ELSE 'GONE' END AS monitoring_status,
        CASE WHEN c_nationkey < 6 THEN 'CUEM' WHEN c_nationkey < 12 THEN ' CUOP'
@@ -227,7 +227,7 @@ SELECT CAST(c_custkey AS STRING) AS installation_number,
 FROM {customer}
 """,
     "devices": """
-SELECT CAST(o_custkey AS STRING) AS ins_no,
+SELECT CASE WHEN o_custkey % 89 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS ins_no,
        CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN 'FG' ELSE 'DT' END AS device
 FROM {orders}
 """,

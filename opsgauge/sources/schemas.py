@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from opsgauge.functions.clock import DAY_FIRST, DAY_FIRST_12H, DAY_FIRST_DAY, DAY_FIRST_MINUTES, MONTH_NAME_12H, parse_any
 from opsgauge.operators.clean import clean_headers
@@ -158,25 +158,33 @@ def text_moment(name: str, field: T.StructField, layouts: Layouts | None = None)
 def lost_values(df: DataFrame, name: str, layouts: Layouts | None = None) -> DataFrame:
     """(input, column, lost): how many texts of each time that may be coerced cannot be read."""
     plain = clean_headers(df, plain=True).withColumnsRenamed(OTHER_NAMES)
-    texts = [
-        f for f in schema_of(name)
-        if f"{name}.{f.name}" in COERCED and isinstance(plain.schema[f.name].dataType, T.StringType)
-    ]
     counts = [
         F.struct(
             F.lit(name).alias("input"),
             F.lit(f.name).alias("column"),
             F.count_if(F.col(f.name).isNotNull() & text_moment(name, f, layouts).isNull()).alias("lost"),
         )
-        for f in texts
+        for f in coerced_texts(plain, name)
     ]
     if not counts:
         return df.sparkSession.createDataFrame([], "input string, column string, lost long")
     return plain.agg(F.array(*counts).alias("all")).selectExpr("inline(all)")
 
 
+def coerced_texts(plain: DataFrame, name: str) -> list[T.StructField]:
+    """The times of an input that are kept as text and may be unreadable."""
+    return [
+        f for f in schema_of(name)
+        if f"{name}.{f.name}" in COERCED and isinstance(plain.schema[f.name].dataType, T.StringType)
+    ]
+
+
 def conform(
-    df: DataFrame, name: str, layouts: Layouts | None = None, within: tuple[str, str, str] | None = None
+    df: DataFrame,
+    name: str,
+    layouts: Layouts | None = None,
+    within: tuple[str, str, str] | None = None,
+    losses: dict[str, Observation] | None = None,
 ) -> DataFrame:
     """Bring a table to its declared columns and types; a missing column is an error.
 
@@ -184,6 +192,10 @@ def conform(
     where the column is kept as text: rows whose text cannot be a time of the span are left out by a
     test that reaches the file scan, before any text is parsed (or found to be unreadable).
 
+    `losses` receives, under the input's name, an observation that counts the unreadable values of
+    times that may be coerced, while the rows are read for whatever they are wanted for. Then all
+    rows of such an input have to be read, so `within` is not used for it.
+
     Dates and timestamps stay as they are stored, whatever mix of them is declared: period
     tests accept each of them, and a cast would keep the test from reaching the file scan.
     Texts in their place are parsed; `layouts` gives, by "input.column", the layouts to try.
@@ -194,7 +206,8 @@ def conform(
     if missing:
         raise ValueError(f"table {name} lacks {', '.join(missing)}")
 
-    if within is not None and isinstance(plain.schema[within[0]].dataType, T.StringType):
+    counted = coerced_texts(plain, name) if losses is not None else []
+    if within is not None and not counted and isinstance(plain.schema[within[0]].dataType, T.StringType):
         tried = {**LAYOUTS, **(layouts or {})}.get(f"{name}.{within[0]}", ())
         test = may_be_within(F.col(within[0]), tried, *within[1:])
         plain = plain if test is None else plain.filter(test)
@@ -207,4 +220,10 @@ def conform(
             return text_moment(name, field, layouts).alias(field.name)
         return c if same else c.cast(field.dataType).alias(field.name)
 
-    return plain.select(*[column(f) for f in schema])
+    if not counted:
+        return plain.select(*[column(f) for f in schema])
+    raw = {f.name: f"_raw_{f.name}" for f in counted}
+    parsed = plain.select(*[column(f) for f in schema], *[F.col(n).alias(r) for n, r in raw.items()])
+    lost = [F.count_if(F.col(r).isNotNull() & F.col(n).isNull()).alias(n) for n, r in raw.items()]
+    losses[name] = Observation(f"unreadable times of {name}")
+    return parsed.observe(losses[name], *lost).drop(*raw.values())

@@ -12,7 +12,7 @@ from opsgauge.functions.clock import DAY_US, HOUR_US
 from opsgauge.operators.periods import Period
 from opsgauge.plans import alarm, backoffice, care, contacts, digital, field, onboarding, report, selfservice, service
 from opsgauge.run import run_report
-from opsgauge.sources.schemas import SCHEMAS, schema_of
+from opsgauge.sources.schemas import SCHEMAS, lost_values, schema_of
 
 WEEK = Period("Week", "2025-12-08", "2025-12-14")
 DAY = date(2025, 12, 10)
@@ -237,5 +237,40 @@ def test_report_is_stored_and_read_back(spark, sf_dir, tmp_path):
     assert got.filter(F.col("period") == "Span").agg(F.count("value")).first()[0] > 80
 
 
+def test_losses_are_counted_in_the_same_scans(spark, sf_dir, tmp_path):
+    """Unreadable times of two inputs, one of them read by several measures; the report stays the same."""
+    inputs = Inputs(spark, sf_dir)
+
+    def source(name):
+        raw = inputs.raw(name)
+        columns = {"field_retention": "closing_finishing_date", "field_backlog": "audit_insert_timestamp"}
+        if name not in columns:
+            return raw
+        at = F.col(columns[name])
+        text = F.when(F.dayofmonth(at) % 10 == 7, "not known").otherwise(F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
+        return raw.withColumn(columns[name], text)
+
+    path = str(tmp_path / "kpis")
+    got = run_report(spark, source, PERIODS, DEPLOYMENT, AS_OF, path, count_losses=True)
+    names = ("guard_callouts", "field_retention", "field_backlog")
+    want = {tuple(r) for n in names for r in lost_values(source(n), n).collect()}
+    stored = spark.read.parquet(f"{path}_losses")
+    assert {(r.input, r.column, r.lost) for r in stored.collect()} == want and {r.run for r in stored.collect()} == {1}
+    assert any(lost > 0 for _, _, lost in want) and got.count() == 83 * 3
+    losses = {}
+    parts = report.report_parts(source, PERIODS, DEPLOYMENT, AS_OF, losses)
+    plan = parts["field_retention"]._jdf.queryExecution().optimizedPlan().toString()
+    plain = report.report_parts(source, PERIODS, DEPLOYMENT, AS_OF)["field_retention"]._jdf.queryExecution().optimizedPlan().toString()
+    assert set(losses) == set(names) and plan.count("Relation [") == plain.count("Relation [")
+
+
+def test_missing_installations_are_one(spark):
+    rows = [{"installation_number": n, "monitoring_status": "OP", "contract_status": "CUEM"} for n in ("1", "1", None, None, "2")]
+    portfolio = table(spark, "portfolio", *rows)
+    held = lambda *numbers: table(spark, "devices", *[{"ins_no": n} for n in numbers], device="FG")
+    assert tuple(backoffice.portfolio_base(portfolio, held("1", "9")).first()) == (3, 1)
+    assert tuple(backoffice.portfolio_base(portfolio, held("1", None, None)).first()) == (3, 2)
+
+
 def test_every_input_of_the_report_has_a_schema():
     assert len(SCHEMAS) == 41
