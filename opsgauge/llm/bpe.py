@@ -22,11 +22,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from opsgauge.llm.workspace import ship_package
+
 BITS = 20
 MASK = (1 << BITS) - 1
 NO_MERGE = 1 << 62
 SHORT = 256
-CACHED_WORDS = 400_000
+#: Bytes of merged words that a task holds, and what a short one takes besides its characters and ids.
+CACHED_BYTES = 40 << 20
+ENTRY_BYTES = 300
 
 
 def byte_letters() -> list[str]:
@@ -42,20 +46,29 @@ def byte_letters() -> list[str]:
 
 
 class Words(dict):
-    """Word -> its ids as int32 bytes and its tokens joined by a blank; forgets all when full."""
+    """Word -> its ids as int32 bytes and its tokens joined by a blank, for words met lately. When half
+    of ``CACHED_BYTES`` is full, the words not met since the last time are forgotten."""
 
     def __init__(self, merge):
         super().__init__()
-        self.merge = merge
+        self.merge, self.older, self.size = merge, {}, 0
 
     def __missing__(self, word: str) -> tuple[bytes, str]:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        out = self.merge(word)
+        out = self.older.get(word)
+        if out is None:
+            out = self.merge(word)
         if len(word) <= SHORT:
+            self.size += ENTRY_BYTES + 2 * len(word) + len(out[0])
+            if self.size > CACHED_BYTES // 2:
+                self.older, self.size = dict(self), 0
+                self.clear()
             self[word] = out
         return out
 
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.size = {}, 0
+
 
 class WordBpe:
     """Encodes and decodes like the vocabulary file's own library, without added special tokens.
@@ -171,6 +184,7 @@ def encode_column(df: DataFrame, path: str, text: str = "text", ids: str = "ids"
     ``path`` is the vocabulary file, at the same place on every machine. A null text is an empty one:
     no ids, an empty decoded text. Columns of the table named like the new ones are replaced.
     """
+    ship_package(df.sparkSession)
     df = df.drop(*(c for c in df.columns if c.lower() in (ids.lower(), decoded.lower())))
     schema = T.StructType(
         [*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]
@@ -187,15 +201,19 @@ def encode_column(df: DataFrame, path: str, text: str = "text", ids: str = "ids"
             columns = [*batch.columns, lists, pa.array([x[1] for x in found], pa.string())]
             return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, ids, decoded])
 
-        for batch in batches:
-            place, begin, size, texts = batch.schema.get_field_index(text), 0, 0, []
-            for n, value in enumerate(batch.column(place)):
-                texts.append(value.as_py() or "")
-                size += len(texts[-1])
-                if size >= SLICE_BYTES:
-                    yield encoded(batch.slice(begin, n + 1 - begin), texts)
-                    begin, size, texts = n + 1, 0, []
-            if texts:
-                yield encoded(batch.slice(begin), texts)
+        try:
+            for batch in batches:
+                place, begin, size, texts = batch.schema.get_field_index(text), 0, 0, []
+                for n, value in enumerate(batch.column(place)):
+                    texts.append(value.as_py() or "")
+                    size += len(texts[-1])
+                    if size >= SLICE_BYTES:
+                        yield encoded(batch.slice(begin, n + 1 - begin), texts)
+                        begin, size, texts = n + 1, 0, []
+                if texts:
+                    yield encoded(batch.slice(begin), texts)
+        finally:
+            # the worker stays for other tasks, and perhaps for other stages
+            bpe.words.forget()
 
     return df.mapInArrow(encode, schema)

@@ -30,6 +30,9 @@ FIRST_BEAM = 16
 AT_ONCE = 4
 BATCH = 256
 AUDITS, AUDIT_RECALL = 128, 0.99
+#: A shard that finds less of its links, however wide its beam, is an error. Tasks of the search, at most.
+LEAST_RECALL = 0.9
+MOST_TASKS = 1 << 16
 SHARDS, PER_SHARD, PER_BLOCK = 8, 50_000, 1024
 SLACK = 1e-5
 
@@ -402,10 +405,16 @@ def near_vectors(
     shards, blocks = max(SHARDS, -(-size // per_shard)), max(1, -(-size // PER_BLOCK))
     parts = classes.withColumn("part", F.pmod("place", F.lit(shards)))
     audits = work.table(store_shards(parts, folder, threshold), "audits")
+    poor = audits.where(F.col("recall") < LEAST_RECALL).orderBy("recall").first()
+    if poor is not None:
+        raise RuntimeError(f"shard {poor['shard']} of vectors of length {poor['dim']} finds only {poor['recall']:.3f} of its links")
     queries = classes.withColumn("block", F.pmod(F.xxhash64("place"), F.lit(blocks)))
     stored = work.table(store_blocks(queries, folder), "blocks")
-    # a row for each block of queries and each shard, every one a task's work
-    asked = audits.join(stored, "dim").repartition(max(1, shards * blocks), "dim", "shard", "block")
+    # a row for each block of queries and each shard; a task takes one, or where there are very many,
+    # several of one shard, which it maps once
+    tasks = min(max(1, shards * blocks), MOST_TASKS)
+    share = F.pmod("block", F.lit(max(1, tasks // shards)))
+    asked = audits.join(stored, "dim").repartition(tasks, "dim", "shard", share).sortWithinPartitions("dim", "shard", "block")
     found = work.table(query_shards(asked, folder, threshold), "found")
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("links"))
     comps = connected_components(found.where("b IS NOT NULL").select("a", "b"), work)

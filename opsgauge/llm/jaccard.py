@@ -69,45 +69,47 @@ def token_sets(batch: pa.RecordBatch, text: str, width: int) -> Iterator[tuple[i
             yield row + k, np.unique(shingle_hashes(words[bounds[k] : bounds[k + 1]], width))
 
 
+KEYS = "id long, n long, key binary, tokens array<long>, counts array<long>"
+
+
 def set_keys(docs: DataFrame, width: int) -> DataFrame:
-    """(id, n, key): size of each text's set and a 128-bit digest of it (null where it is empty)."""
+    """(id, n, key): size of each text's set and a 128-bit digest of it (null where it is empty). In
+    rows of their own (n is null), tokens that several texts of a task have, and how many: counted
+    over all texts, about two million tokens at a time."""
+    lists = pa.list_(pa.int64())
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("tokens", lists), ("counts", lists)])
 
     def keys(batches):
+        held, size = [], 0
         for batch in batches:
             n, key = [], []
             for _, tokens in token_sets(batch, "text", width):
                 n.append(len(tokens))
                 key.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(key, pa.binary())], ["id", "n", "key"])
-
-    return docs.select("id", "text").mapInArrow(keys, "id long, n long, key binary")
-
-
-def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that come last in the order, and their places: at most ``FREQUENT`` of those that most
-    texts have. Tasks count over all texts and pass on what occurs twice or more among about two
-    million tokens. The choice bears on the work to do, never on what is found."""
-
-    def count(batches):
-        held, size = [], 0
-        for batch in batches:
-            for _, tokens in token_sets(batch, "text", width):
                 held.append(tokens)
                 size += len(tokens)
                 if size >= GATHER:
                     yield repeated(held)
                     held, size = [], 0
+            none = pa.nulls(len(n), lists)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), none, none], schema=schema)
         if held:
             yield repeated(held)
 
     def repeated(held):
         tokens, counts = np.unique(np.concatenate(held), return_counts=True)
         often = counts > 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(tokens[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["token", "n"]
-        )
+        found = [pa.array([tokens[often].view(np.int64)], lists), pa.array([counts[often].astype(np.int64)], lists)]
+        return pa.RecordBatch.from_arrays([pa.nulls(1, f.type) for f in schema][:3] + found, schema=schema)
+
+    return docs.select("id", "text").mapInArrow(keys, KEYS)
 
-    counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+def frequent_tokens(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that come last in the order, and their places: at most ``FREQUENT`` of those that most
+    texts have. The choice bears on the work to do, never on what is found."""
+    counted = keys.where("n IS NULL").select(F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
+    counted = counted.groupBy(F.col("t.tokens").alias("token")).agg(F.sum("t.counts").alias("n"))
     top = counted.where(F.col("n") >= LEAST_FREQUENT).orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
     tokens = np.array([r["token"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(tokens)
@@ -257,14 +259,15 @@ def components(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percent
     component_id is null.
     """
     work = Workspace(spark, name)
-    docs = docs.select(F.col("doc_id").alias("id"), "text")
-    keys = work.table(set_keys(docs, width), "keys-of-sets")
+    docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    counted = work.table(set_keys(docs, width), "keys-of-sets")
+    keys = counted.where("n IS NOT NULL").select("id", "n", "key")
     linkable = keys.where("key IS NOT NULL AND id IS NOT NULL")
     classes = work.table(linkable.groupBy("key").agg(F.min("id").alias("rep")), "classes")
     members = work.table(linkable.join(classes, "key").select("id", "n", "rep").distinct(), "members")
 
     identified = docs.where("id IS NOT NULL")
-    all_postings = work.table(prefix_postings(identified, width, percent, frequent_tokens(identified, width)), "all-postings")
+    all_postings = work.table(prefix_postings(identified, width, percent, frequent_tokens(counted)), "all-postings")
     shared = all_postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
     shared = work.table(shared, "shared")
     of_docs = work.table(all_postings.join(shared, "token", "left_semi"), "of-docs")

@@ -42,7 +42,7 @@ SCALE = 1_000_000_000
 CELL = np.dtype([("at", "<u2"), ("tf", "u1")])
 #: Items searched in one pass over the index; entries of a table of bounds; distinct terms held before they are handed on.
 BLOCK_ITEMS = 256
-TABLE_ENTRIES = 1 << 21
+TABLE_ENTRIES = 1 << 19
 HELD_TERMS = 1 << 20
 
 INDEX = "doc_id long, n long, sketch binary, text string, terms array<long>, counts array<long>"

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsgauge.llm.workspace import ship_package
+
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 PER_CLASS = 2000
@@ -128,8 +130,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
         mine = mine.orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = mine if chosen is None else chosen.union(mine)
     texts = docs.select("doc_id", "text").where(F.length("text").between(1, LONGEST))
-    # at most 2 * per_class ids
-    found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").limit(2 * per_class)
+    # at most 2 * per_class ids; of an id with several texts, the least one in order of their digests
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    found = found.agg(F.min_by("text", F.struct(F.md5("text"), "text")).alias("text")).select("doc_id", "text", "label")
     rows = found.collect()
     return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["label"], r["text"]))]
 
@@ -140,6 +143,7 @@ def score_documents(docs: DataFrame, model: Model, score: str = "score", predict
     A null or empty text has no size difference and gets the score of the shortest texts. Columns
     named like the new ones are replaced.
     """
+    ship_package(docs.sparkSession)
     docs = docs.drop(*(c for c in docs.columns if c.lower() in (score.lower(), predicted.lower())))
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType()), T.StructField(predicted, T.IntegerType())])
 

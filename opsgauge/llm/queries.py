@@ -84,11 +84,11 @@ WITH l AS (
   SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
   FROM documents
 ), k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
-b AS (
-  SELECT source, key FROM k WHERE key <> '' GROUP BY source, key
-  HAVING COUNT(DISTINCT doc_id) >= {lines.LEAST_PAGES}
-     AND COUNT(DISTINCT doc_id) > {lines.RATIO} * (SELECT COUNT(*) FROM documents AS d WHERE d.source = k.source)
-)
+s AS (SELECT source, COALESCE(list_sort(list_distinct(list(key) FILTER (key <> ''))), []) AS keys FROM k GROUP BY doc_id, source),
+p AS (SELECT DISTINCT source, keys FROM s),
+n AS (SELECT source, COUNT(*) AS pages FROM p GROUP BY source),
+o AS (SELECT source, key, COUNT(*) AS pages FROM (SELECT source, unnest(keys) AS key FROM p) GROUP BY source, key),
+b AS (SELECT o.source, key FROM o JOIN n ON n.source = o.source WHERE o.pages > 1 AND o.pages > CAST({lines.RATIO} AS DOUBLE) * n.pages)
 SELECT doc_id, ANY_VALUE(k.source) AS source, COUNT(*) AS n_lines, COUNT(b.key) AS n_dropped,
        COALESCE(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE b.key IS NULL), '') AS text
 FROM k LEFT JOIN b ON b.source = k.source AND b.key = k.key

@@ -146,12 +146,14 @@ def parse_stream(read) -> Iterator[dict]:
         kind = fields.get("warc-type")
         sized = re.search(rb"(?im)^content-length:\s*(\d+)", http)
         stated = fields.get("warc-payload-digest", "").removeprefix("sha256:")
+        # a revisit has no payload of its own: the digest it states is that of the response
+        digest = hashlib.sha256(payload).hexdigest() if kind == RESPONSE else stated
         problem = None
         if fields.get("warc-block-digest", "").removeprefix("sha256:") != hashlib.sha256(block).hexdigest():
             problem = "block digest"
         elif not mark or not sized:
             problem = "http header"
-        elif kind == RESPONSE and (int(sized[1]) != len(payload) or hashlib.sha256(payload).hexdigest() != stated):
+        elif kind == RESPONSE and (int(sized[1]) != len(payload) or digest != stated):
             problem = "payload digest"
         plain = lambda name: re.sub(r"^<urn:page:(.*)>$", r"\1", fields[name]) if name in fields else None
         yield {
@@ -160,7 +162,7 @@ def parse_stream(read) -> Iterator[dict]:
             "record_type": kind,
             "refers_to": plain("warc-refers-to"),
             "payload_bytes": int(sized[1]) if sized else None,
-            "payload_digest": stated,
+            "payload_digest": digest,
             "payload": payload if kind == RESPONSE else None,
             "problem": problem,
         }
@@ -221,12 +223,13 @@ def write_archives(df: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTE
     return df.select(*columns).mapInArrow(write, MANIFEST)
 
 
-def read_records(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
-    """Read the archives that a manifest lists, one after the other in each task.
+def read_records(manifest: DataFrame, with_payload: bool = True, strict: bool = True) -> DataFrame:
+    """Read the archives that a manifest (path, records) lists, one after the other in each task.
 
-    Returns one row per record; ``problem`` names what does not fit its header (block digest, http
-    header, payload digest). An archive that breaks the format gives a last row with ``problem``
-    set and no record_id; the records before it are returned.
+    Returns one row per record; digests are those of the bytes read. What does not fit is an error that
+    names the archive: a broken format, a record whose digest or length is not the one stated, more or
+    fewer records than the manifest has. Without ``strict`` it is told in ``problem``: beside the record,
+    or, for the archive, in a last row without record_id; the records before it are returned.
     """
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,25 +237,31 @@ def read_records(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
             [(n, {"long": pa.int64(), "binary": pa.binary()}.get(t, pa.string())) for n, t in (c.split() for c in RECORD.split(", "))]
         )
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, promised in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True):
                 fs, inner = filesystem(path)
-                rows, size = [], 0
+                rows, size, count = [], 0, 0
                 with fs.open_input_stream(inner, compression=None) as source:
                     try:
                         for record in parse_stream(source.read):
-                            size += len(record["payload"] or b"")
+                            size, count = size + len(record["payload"] or b""), count + 1
+                            if strict and record["problem"]:
+                                raise Damaged(f"record {count}: {record['problem']}")
                             if not with_payload:
                                 record["payload"] = None
                             rows.append(record)
                             if len(rows) >= 1000 or size > 1 << 24:
                                 yield pa.RecordBatch.from_pylist(rows, schema)
                                 rows, size = [], 0
+                        if promised is not None and count != promised:
+                            raise Damaged(f"{count} records of {promised}")
                     except Damaged as error:
+                        if strict:
+                            raise Damaged(f"{path}: {error}") from error
                         rows.append({"problem": str(error)})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return manifest.select("path").mapInArrow(read, RECORD)
+    return manifest.select("path", "records").mapInArrow(read, RECORD)
 
 
 def archive_plan(pages: DataFrame, work: Workspace, least_bytes: int = 100) -> DataFrame:
@@ -288,7 +297,7 @@ def archive_plan(pages: DataFrame, work: Workspace, least_bytes: int = 100) -> D
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     """Write every page as a WARC record and read the archives back: (page_id, payload_bytes,
-    payload_digest, record_type, refers_to, uri, problem), all from the archives.
+    payload_digest, record_type, refers_to, uri, problem), all from the archives, which are verified.
 
     ``pages`` has page_id: long, url, html: string; further columns are ignored. An empty table
     gives no rows. Line ends and control characters in a url are stored percent-encoded.

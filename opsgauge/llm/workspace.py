@@ -25,8 +25,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Rows that a Python worker gets at once, at most. Texts are long: ten thousand of them, Spark's usual
+#: number, take several times as much memory as the work on them.
+BATCH_ROWS = 2000
+BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package where they may not have it. Spark hands the file out."""
+    """Give the Python workers this package where they may not have it. Spark hands the file out. Also
+    bounds the batches that they get."""
+    if not 0 < int(spark.conf.get(BATCHES)) <= BATCH_ROWS:
+        spark.conf.set(BATCHES, BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_opsgauge_shipped", False):
         return

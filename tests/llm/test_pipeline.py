@@ -44,10 +44,11 @@ def test_quality_stage(spark, sf_dir, stages):
 
 def test_line_stage(stages):
     before, after = stages[1][1], stages[2][1]
-    pages, on = collections.Counter(r.source for r in before), collections.Counter()
-    for r in before:
-        on.update({(r.source, x.strip(" \t\r")) for x in r.text.split("\n")})
-    bad = {k for k, n in on.items() if k[1] and n >= lines.LEAST_PAGES and n > lines.RATIO * pages[k[0]]}
+    distinct = {(r.source, frozenset(x.strip(" \t\r") for x in r.text.split("\n")) - {""}) for r in before}
+    pages, on = collections.Counter(source for source, _ in distinct), collections.Counter()
+    for source, keys in distinct:
+        on.update((source, x) for x in keys)
+    bad = {k for k, n in on.items() if n > 1 and n > lines.RATIO * pages[k[0]]}
     clean = {r.doc_id: "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" \t\r")) not in bad) for r in before}
     assert {r.doc_id: (r.text, r.n_chars) for r in after} == {i: (t, len(t)) for i, t in clean.items()}
 
@@ -115,6 +116,18 @@ def test_stages_on_odd_rows(spark, sf_dir):
                 assert sorted(((r.doc_id is None, r.doc_id or 0) for r in got)) == [(False, 1), (False, 2), (False, 3), (False, 4), (True, 0), (True, 0)]
 
 
+def test_rows_without_id_are_judged_one_by_one(spark, sf_dir):
+    """One contaminated row takes no other row with it; different texts of a kept id all stay."""
+    passage = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    texts = [(None, f"before {passage} after"), (None, "a clean text of a few plain words"), (5, f"x {passage}"), (5, "another clean text with words of its own")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts], schema)
+    left = corpus_pipeline.drop_contaminated(spark, docs, sf_dir).collect()
+    assert sorted(r.text for r in left) == sorted(t for _, t in texts[1::2])
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs.union(docs.where("doc_id = 5")), sf_dir).collect()
+    assert sorted(r.text for r in kept) == sorted(t for _, t in texts)
+
+
 def test_scores_are_finite_for_any_text():
     model = quality.fit([("good text here " * 9, 1), ("bad!! text!! " * 9, 0)] * 40)
     assert all(0 <= model.score(t) <= 1 and math.isfinite(model.score(t)) for t in ("", "x", "\ud800"[:0], "y" * 10**6))

@@ -266,13 +266,16 @@ def test_line_dedup_equals_plain_counts(spark):
     menu = [f"line {k}" for k in range(300)]
     rows = [(k, "\n".join([*rng.choices(menu, k=5), " Home\t"] if k % 3 else rng.choices(menu, k=4)), ("a", "b", None)[k % 5 % 3]) for k in range(200)]
     rows += [(300, None, "a"), (301, "", "a"), (302, "\n\nHome\n", "b"), (303, "Home", "tiny"), (5, rows[5][1], rows[5][2])]
+    rows += [(400 + k, f"Menu\nown {k}", "small") for k in range(3)] + [(410 + k, "copied\ntext", "small") for k in range(9)]
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, source string, keys int, of_site string")
-    got = lines.drop_boilerplate(docs, Workspace(spark, "t"), ratio=0.2, least_pages=10, counts=("n_lines", "n_dropped")).collect()
-    pages, on = collections.Counter(r[2] for r in rows), collections.Counter()
-    for _, text, site in rows:
-        on.update({(site, x.strip(" \t\r")) for x in (text or "").split("\n")} - {(site, "")})
-    bad = {k for k, n in on.items() if n >= 10 and n > 0.2 * pages[k[0]]}
-    assert {("a", "Home"), ("b", "Home"), (None, "Home")} <= bad and ("tiny", "Home") not in bad
+    got = lines.drop_boilerplate(docs, Workspace(spark, "t"), ratio=0.2, counts=("n_lines", "n_dropped")).collect()
+    distinct = {(site, frozenset(x.strip(" \t\r") for x in (text or "").split("\n")) - {""}) for _, text, site in rows}
+    pages, on = collections.Counter(site for site, _ in distinct), collections.Counter()
+    for site, keys in distinct:
+        on.update((site, x) for x in keys)
+    bad = {k for k, n in on.items() if n > 1 and n > 0.2 * pages[k[0]]}
+    # one line on all pages of a small site goes; one on a single page stays
+    assert {("a", "Home"), ("b", "Home"), (None, "Home"), ("small", "Menu")} <= bad and ("tiny", "Home") not in bad
 
     def clean(text, site):
         return None if text is None else "\n".join(x for x in text.split("\n") if (site, x.strip(" \t\r")) not in bad)

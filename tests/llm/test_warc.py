@@ -80,3 +80,30 @@ def test_archives_close_at_their_size(spark):
     assert manifest.count() > 3
     back = warc.read_records(manifest).collect()
     assert sorted((r.record_id, bytes(r.payload)) for r in back) == sorted((r[0], r[5]) for r in rows)
+
+
+def test_damaged_archives_are_told(spark):
+    """Through Spark: an error by default, else rows that name what is wrong."""
+    rows = [(str(i), "u", "response", None, hashlib.sha256(b"x" * i).hexdigest(), b"x" * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "record_id string, uri string, record_type string, refers_to string, payload_digest string, payload binary")
+    work = warc.Workspace(spark, "test")
+    manifest = work.table(warc.write_archives(df.repartition(3), f"{work.path}/archives"), "manifest")
+    listed = {r.path: r.records for r in manifest.collect()}
+    cut, lost, *_ = sorted(listed)
+    data = open(cut.removeprefix("file://"), "rb").read()
+    with open(cut.removeprefix("file://"), "wb") as out:
+        out.write(data[:-5])
+    members = [m for m in open(lost.removeprefix("file://"), "rb").read().split(b"\x1f\x8b\x08") if m]
+    with open(lost.removeprefix("file://"), "wb") as out:
+        out.write(b"".join(b"\x1f\x8b\x08" + m for m in members[:-1]))
+    with pytest.raises(Exception, match="Damaged"):
+        warc.read_records(manifest).count()
+    got = warc.read_records(manifest, strict=False).collect()
+    assert sum(r.record_id is not None for r in got) == 40 - 2
+    problems = [r.problem for r in got if r.problem]
+    assert len(problems) == 2 and f"{listed[lost] - 1} records of {listed[lost]}" in problems
+    swapped = work.table(df.withColumn("payload_digest", df["record_id"]), "swapped")
+    bad = work.table(warc.write_archives(swapped, f"{work.path}/swapped"), "bad")
+    assert {r.problem for r in warc.read_records(bad, strict=False).collect()} == {"payload digest"}
+    with pytest.raises(Exception, match="payload digest"):
+        warc.read_records(bad).count()
