@@ -25,25 +25,29 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_line_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that stand on many different documents of their source. Copies
     count as one, so that a text with many copies keeps its lines."""
-    out = lines.drop_boilerplate(docs, Workspace(spark, "lines"), distinct_pages=True)
+    out = lines.drop_boilerplate(docs, Workspace(spark, "lines"))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates, the document with the smallest doc_id. Rows without doc_id stay; of rows
-    that share a kept doc_id, one stays."""
+    """Of near duplicates, the document with the smallest doc_id. Rows without doc_id stay; of equal rows
+    with a kept doc_id, one stays, and so does each of its different texts."""
     found = jaccard.components(spark, docs)
     own = fresh(docs.columns, "kept_id")
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(own)).distinct()
     kept = Workspace(spark, "kept").table(kept, "ids")
-    once = docs.join(kept, docs["doc_id"] == kept[own], "left_semi").dropDuplicates(["doc_id"])
+    once = docs.join(kept, docs["doc_id"] == kept[own], "left_semi").dropDuplicates(["doc_id", "text"])
     return once.select(*docs.columns).union(docs.where("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
-    found = tiling.contaminated_ids(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["id"]), "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark passage. Rows are judged one by one: by a hash of doc_id and text,
+    as doc_ids may be missing or repeated."""
+    own = fresh(docs.columns, "row_key")
+    rows = docs.withColumn(own, F.xxhash64("doc_id", "text"))
+    keyed = rows.select(F.col(own).alias("doc_id"), "text")
+    found = tiling.contaminated_ids(spark, keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.join(found, rows[own] == found["id"], "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
