@@ -162,7 +162,7 @@ def test_onboarding_counts_each_waiting_time(spark):
         {"installation_number": "b", "installation_date": NOON + timedelta(days=3)},
     ]
     got = only(onboarding.onboarding_speed(table(spark, "onboarding", *rows, min_comp_attempt_date=NOON), [WEEK], HOLIDAYS))
-    assert got == {"period": "Week", "installations": 3, "under_5_days_pct": 66.67}
+    assert got == {"period": "Week", "installations": 3, "under_5_days_pct": 66.67, "beyond_calendar": 0}
 
 
 def test_retention_drops_codes_that_only_wait(spark):
