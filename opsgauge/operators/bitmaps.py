@@ -1,9 +1,11 @@
 """Exact distinct counts that can be merged: a bit for each value, kept day by day.
 
 A distinct count of a week does not follow from those of its days. A set of bits does: the days' sets are
-or-ed, and the bits counted. Values get dense numbers once, so a set of n of them takes n / 8 bytes, in
-buckets of 32,768 bits. Partials of a day never change, so a new day adds its rows, and any week, month
-or year is an or over rows that are there.
+or-ed, and the bits counted. Values get dense numbers once; a bucket is the 64 of them that one long
+holds, and a set has a row for each bucket that is not empty. So a full set of n values takes n / 64 rows,
+one of a few values spread over many never more rows than values, and all aggregates keep longs only.
+Partials of a day never change, so a new day adds its rows, and any week, month or year is an or over
+rows that are there.
 """
 
 from __future__ import annotations
@@ -50,27 +52,31 @@ def extended(known: DataFrame, df: DataFrame, key: str, slots: int = SLOTS) -> D
 def day_partials(df: DataFrame, day: str, id: str, by: Sequence[str] = (), **marks: Column | None) -> DataFrame:
     """(day, by …, mark, bucket, bits): for each mark the ids of the rows that meet it (None: all rows).
 
-    Bits are collected on the map side, 4 KB a bucket. Rows without day or id are left out.
+    The sets of all marks are or-ed side by side, on the map side first. Rows without day or id are left
+    out.
     """
-    named = [F.when(F.lit(True) if c is None else c, F.lit(n)) for n, c in marks.items()]
+    id_ = F.col(id).cast("long")
+    bit = F.expr("shiftleft(1L, CAST(_id & 63L AS INT))")
+    held = {f"_m{k}": F.lit(True) if c is None else c for k, c in enumerate(marks.values())}
     rows = df.dropna(subset=[day, id]).select(
-        F.to_date(day).alias("day"), *by, F.col(id).alias("_id"), F.explode(F.array(*named)).alias("mark")
+        F.to_date(day).alias("day"), *by, id_.alias("_id"), *[c.alias(n) for n, c in held.items()]
     )
-    return (
-        rows.filter(F.col("mark").isNotNull())
-        .groupBy("day", *by, "mark", F.bitmap_bucket_number("_id").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("bits"))
+    sets = rows.groupBy("day", *by, F.shiftright("_id", 6).alias("bucket")).agg(
+        *[F.bit_or(F.when(F.col(n), bit)).alias(n) for n in held]
     )
+    each = [F.struct(F.lit(name).alias("mark"), F.col(n).alias("bits")) for name, n in zip(marks, held)]
+    spread = sets.select("day", *by, "bucket", F.inline(F.array(*each)))
+    return spread.filter(F.col("bits").isNotNull()).select("day", *by, "mark", "bucket", "bits")
 
 
 def merged(partials: DataFrame, to: Sequence[str]) -> DataFrame:
     """Partials of coarser groups, which can be merged again: sets or-ed by mark and bucket."""
-    return partials.groupBy(*to, "mark", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return partials.groupBy(*to, "mark", "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def counted(partials: DataFrame, by: Sequence[str], marks: Sequence[str]) -> DataFrame:
     """(by …, mark …): the exact distinct counts, 0 where a group has no row of a mark."""
-    sets = merged(partials, by).select(*by, "mark", F.bitmap_count("bits").alias("_n"))
+    sets = merged(partials, by).select(*by, "mark", F.bit_count("bits").cast("long").alias("_n"))
     sums = [F.coalesce(F.sum(F.when(F.col("mark") == m, F.col("_n"))), F.lit(0)).alias(m) for m in marks]
     return sets.groupBy(*by).agg(*sums)
 

@@ -48,3 +48,23 @@ def test_days_merge_to_any_period(spark):
     whole = bitmaps.counted(weeks, ["area"], ["all"]).collect()
     want = rows.dropna(subset=["d", "id"]).groupBy("area").agg(F.count_distinct("id").alias("n")).collect()
     assert {r["area"]: r["all"] for r in whole} == {r["area"]: r["n"] for r in want}
+
+
+def test_sets_of_few_values_stay_small(spark):
+    # ids far apart, so that hardly two of a day share a bucket of any size
+    rows = spark.range(3000).select((F.col("id") * 1_000_003 - 7).alias("id"), F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("d"))
+    days = bitmaps.day_partials(rows, "d", "id", all=None, odd=F.col("id") % 2 != 0)
+    stored = days.collect()
+    size = sum(len(r["bits"]) if isinstance(r["bits"], (bytes, bytearray)) else 8 for r in stored)
+    assert size <= 2 * 8 * 3000
+    # longs are added up by hash; nothing is sorted for it
+    assert "SortAggregate" not in days._jdf.queryExecution().executedPlan().toString()
+    whole = bitmaps.counted(days.withColumn("one", F.lit(1)), ["one"], ["all", "odd"]).first()
+    assert (whole["all"], whole["odd"]) == (3000, 1500)
+
+
+def test_ids_at_the_edges_of_buckets(spark):
+    ids = [-(2**63), -65, -64, -1, 0, 1, 63, 64, 65, 2**63 - 1, 64]
+    rows = spark.createDataFrame([(i, date(2025, 1, 1)) for i in ids], "id long, d date")
+    days = bitmaps.day_partials(rows, "d", "id", n=None)
+    assert bitmaps.counted(days, ["day"], ["n"]).first()["n"] == len(set(ids))
