@@ -337,3 +337,19 @@ def test_reordered_passages_are_found(spark):
     assert {r.doc_id: round(r.coverage, 3) for r in got if not r.contaminated} == {4: 0.267, 6: 0.0, 7: 0.0, 8: 0.233}
     assert tiling.judged(spark, frame(spark, rows).limit(0), benchmark).count() == 0
     assert not any(r.contaminated for r in tiling.judged(spark, frame(spark, rows), benchmark.limit(0)).collect())
+
+
+def test_a_group_that_many_ask_is_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "ASKED_AT_ONCE", 4)
+    queries = spark.createDataFrame([(q, q, h) for q in range(40) for h in ([7, 8] if q == 3 else [7])], "q long, qc long, h long")
+    sets = spark.createDataFrame([(q, [q, q + 1]) for q in range(50)], "q long, tq array<long>")
+    groups = spark.createDataFrame([(h, [h], f"members of {h}") for h in (7, 8, 9)], "h long, union array<long>, members string")
+    work = Workspace(spark, "asked")
+    asked = jaccard.asked_groups(queries, sets, groups, work)
+    assert not [line for line in asked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "broadcast" in line]
+    rows = asked.collect()
+    want = [(q, q, h, [q, q + 1], [h], f"members of {h}") for q in range(40) for h in ([7, 8] if q == 3 else [7])]
+    assert sorted((r.q, r.qc, r.h, r.tq, r.union, r.members) for r in rows) == sorted(want)
+    parts = collections.Counter((r.h, r.part) for r in rows)
+    assert len(parts) > 2 and max(parts.values()) < 40
+    assert "SortMergeJoin" in asked._jdf.queryExecution().executedPlan().toString()
