@@ -53,3 +53,33 @@ def _mapped(path: str) -> np.ndarray:
 def cached_array(folder: str, name: str) -> np.ndarray:
     """The same, once for each worker; the mapped pages belong to the system's cache."""
     return map_array(folder, name)
+
+
+def pack(*arrays: np.ndarray) -> np.ndarray:
+    """Flat arrays of numbers without signs, or of int64, as one array of bytes: for each, its kind and
+    length, then its numbers, from multiples of eight bytes on."""
+    head = np.array([x for a in arrays for x in (KINDS.index(a.dtype), len(a))], np.int64)
+    parts = [np.array([len(arrays)], np.int64).view(np.uint8), head.view(np.uint8)]
+    for a in arrays:
+        parts += [np.ascontiguousarray(a).view(np.uint8), np.zeros(-a.nbytes % 8, np.uint8)]
+    return np.concatenate(parts)
+
+
+def unpack(packed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The arrays, as views."""
+    n = int(packed[:8].view(np.int64)[0])
+    head, at, out = packed[8 : 8 + 16 * n].view(np.int64).reshape(n, 2), 8 + 16 * n, []
+    for kind, length in head.tolist():
+        size = length * KINDS[kind].itemsize
+        out.append(packed[at : at + size].view(KINDS[kind]))
+        at += size + -size % 8
+    return tuple(out)
+
+
+KINDS = [np.dtype(t) for t in (np.uint8, np.uint16, np.uint32, np.uint64, np.int64)]
+
+
+@lru_cache(maxsize=None)
+def cached_pack(folder: str, name: str) -> tuple[np.ndarray, ...]:
+    """Packed arrays that are one mapped file."""
+    return unpack(np.asarray(map_array(folder, name)))

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from opsgauge.llm import bpe, jaccard, lines, ngrams, quality, tiling
+from opsgauge.llm.words import text_blocks
 from opsgauge.llm.workspace import Workspace
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -158,6 +160,52 @@ def test_ngram_scores_of_higher_orders(spark, words, order):
         assert r.score == pytest.approx(own, rel=1e-9)
 
 
+def test_ngrams_are_sent_and_left_by_shard(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(f"w{rng.randrange(500)}" for _ in range(200))) for k in range(100)]
+    model = ngrams.train_model(spark, frame(spark, rows), order=3)
+    left = spark.read.parquet(f"{model.folder.rpartition('/')[0]}/left*").count()
+    assert 0 < left <= 2 * model.shards * (model.shards + 1)
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_shards_of_ngrams_hold_all_counts(order, tmp_path, monkeypatch):
+    monkeypatch.setattr(ngrams, "GATHER", 400)
+    rng = np.random.default_rng(order)
+    # a frequent word, one very frequent n-gram, and words never seen in training
+    grams = np.minimum(rng.geometric(0.2, (3000, order)), 30).astype(np.uint32)
+    grams = np.concatenate((grams, np.full((900, order), 7, np.uint32)))
+    model = ngrams.Model(str(tmp_path), 6, (0, 40), 5, 1 << 13, len(grams), order, frequent=(1, 7))
+    rows = collections.defaultdict(list)
+    for part in np.array_split(rng.permutation(grams), 7):
+        for batch in ngrams.dealt(model, ngrams.grouped(part)):
+            rows[batch.column(0)[0].as_py()].append(batch.column("packed")[0].as_py())
+    for shard, packed in rows.items():
+        written = ngrams.Written()
+        for some in ngrams.from_rows(packed, order):
+            written.add(some)
+        written.save(str(tmp_path), f"grams{order}-{shard}")
+    want = collections.Counter(map(tuple, grams.tolist()))
+    after = collections.defaultdict(list)
+    for g, n in want.items():
+        after[g[:-1]].append(n)
+    asked = np.concatenate((grams, rng.integers(0, 40, (500, order)).astype(np.uint32), np.full((1, order), 2**32 - 1, np.uint32)))
+    counts, numbers = model.look_up(asked, frozenset(rows))
+    for g, n, found in zip(map(tuple, asked.tolist()), counts.tolist(), numbers.tolist()):
+        near = after.get(g[:-1], [])
+        assert (n, found) == (want[g], [sum(near), near.count(1), near.count(2), sum(x > 2 for x in near)]), g
+
+
+def test_tokens_are_the_words_of_other_operators():
+    texts = ["A b  b\tc\x0bd ", "", None, "\u0085x \u00a0 \u00c4 \u0130", "   ", "b " * 3 + "w" * 200, " lead", "a\x00b \x1c c"]
+    texts = pa.array(texts * 3, pa.string()).slice(3)
+    want = [h[b[k] : b[k + 1]].tolist() for _, h, b in text_blocks(texts) for k in range(len(b) - 1)]
+    got = []
+    for hashes, tokens, bounds in ngrams.token_blocks(pa.record_batch({"text": texts}), "text"):
+        got += [hashes[tokens[bounds[k] : bounds[k + 1]]].tolist() for k in range(len(bounds) - 1)]
+    assert got == [[*words, int(ngrams.END_HASH)] for words in want]
+
+
 def test_ngram_model_of_nothing(spark):
     docs = frame(spark, [(1, "a b")])
     assert ngrams.score_held_out(spark, docs.limit(0)).count() == 0
