@@ -182,6 +182,26 @@ def test_retention_drops_codes_that_only_wait(spark):
     assert only(field.field_retention(df, [WEEK], ["t"]))["retention_pct"] == 40.0
 
 
+def test_retention_judges_each_period_by_its_own_visits(spark):
+    first = datetime(2025, 3, 3, 12)
+    rows = [
+        {"code_maintenance_ibs": "1", "installation_number": "a", "customer_retained": "RETAINED",
+         "closing_finishing_date": first},
+        {"code_maintenance_ibs": "1", "installation_number": "a", "customer_retained": "PENDING",
+         "closing_finishing_date": first + timedelta(days=1)},
+        {"code_maintenance_ibs": None, "installation_number": "b", "customer_retained": None,
+         "closing_finishing_date": first + timedelta(days=69)},
+    ]
+    df = table(spark, "field_retention", *rows, status_maintenance="FINL", technician_identifier="t")
+    # more days than a whole number has bits
+    days = [(first + timedelta(days=n)).date().isoformat() for n in range(70)]
+    periods = [Period(day, day, day) for day in days] + [Period("All", days[0], days[-1])]
+    got = {r.period: r.retention_pct for r in field.field_retention(df, periods, ["t"]).collect()}
+    assert len(got) == 71
+    known = {day: value for day, value in got.items() if value is not None}
+    assert known == {days[0]: 100.0, days[69]: 0.0, "All": 50.0}
+
+
 def test_first_time_fix(spark):
     def visit(code, hours, installation="i", kind="TECH"):
         return {"code_maintenance_ibs": code, "installation_number": installation, "call_type_code": kind,

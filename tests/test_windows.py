@@ -1,6 +1,7 @@
 """The split windows against direct loops, on rows with hot keys, ties, nulls and slot edges."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -119,3 +120,29 @@ def test_attach_any_takes_null_as_a_key(spark, rows):
     df = spark.createDataFrame(data, "k string, n int, o string")
     got = windows.attach_any(df, ["k"], ["n"], hit=F.col("o") == "R").select("n", "hit")
     assert rows(got) == [(1, 1), (2, 1), (3, 0), (4, 1), (5, 1)]
+
+
+def test_forward_counts_has_no_frame_that_costs_its_size(spark):
+    df = spark.createDataFrame(make(5), SCHEMA).withColumn("mark", F.lit(1))
+    got = windows.forward_counts(df, ["k"], "t", "mark", {"any": [], "same": ["c"]}, 720 * HOUR_US, HOUR_US)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    starts = re.findall(r"specifiedwindowframe\(\w+, ([^,]+),", text)
+    assert starts and set(starts) == {"unboundedpreceding$()"}
+
+
+def test_attach_any_deals_its_rows_once(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS n", "id % 5 = 0 AS o")
+    got = windows.attach_any(df, ["k"], ["n"], hit=F.col("o"))
+    got.collect()
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint", "date", "boolean"])
+def test_attach_any_or_s_bits_and_keeps_null_apart(spark, rows, kind):
+    plain = {"string": ("0", "1"), "bigint": ("0", "1"), "date": ("1970-01-01", "2024-01-01")}.get(kind, ("false", "true"))
+    data = [(plain[0], 1, 1), (plain[0], 2, 6), (plain[1], 3, None), (None, 4, 8), (None, 5, 16)]
+    df = spark.createDataFrame(data, "k string, n int, b bigint").withColumn("k", F.col("k").cast(kind))
+    got = windows.attach_any(df, ["k"], ["n"], bits=True, b_any=F.col("b"))
+    assert got.columns == ["k", "n", "b", "b_any"]
+    assert [r[:2] for r in rows(got.select("n", "b_any"))] == [(1, 7), (2, 7), (3, 0), (4, 24), (5, 24)]
+    assert rows(got.drop("b_any")) == rows(df)
