@@ -146,3 +146,48 @@ def test_attach_any_or_s_bits_and_keeps_null_apart(spark, rows, kind):
     assert got.columns == ["k", "n", "b", "b_any"]
     assert [r[:2] for r in rows(got.select("n", "b_any"))] == [(1, 7), (2, 7), (3, 0), (4, 24), (5, 24)]
     assert rows(got.drop("b_any")) == rows(df)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_slices_as_bits_equal_each_slice_alone(spark, seed):
+    """Bursts and counts of three slices in one pass, slices of a row named by the bits of a number."""
+    rng = random.Random(seed)
+    data = [(*row, rng.randrange(8)) for row in make(seed + 60)]
+    df = spark.createDataFrame(data, SCHEMA + ", inside bigint")
+    marked = windows.burst_dedupe(df, ["k"], "t", "num", 10 * MINUTE_US, "mark", "inside", 3)
+    asked = {"any": [], "same": ["c"]}
+    got = windows.forward_counts(marked, ["k"], "t", "mark", asked, 60 * MINUTE_US, 10 * MINUTE_US, 3).collect()
+    for n in range(3):
+        rows = [row[:5] for row in data if row[5] >> n & 1]
+        marks = want_latest(rows, timedelta(minutes=10))
+        mine = [r for r in got if r.inside >> n & 1]
+        assert {r.id: r.mark >> n & 1 for r in mine} == marks
+        for name, by_code in (("any", False), ("same", True)):
+            assert {r.id: r[name][n] for r in mine} == want_ahead(rows, marks, timedelta(minutes=60), by_code)
+    assert all(r.mark >> n & 1 == 0 for r in got for n in range(3) if not r.inside >> n & 1)
+
+
+def test_contacts_are_not_copied_for_periods(spark):
+    """More periods than one row stands for: each gives what it gives alone, and rows are dealt without it."""
+    from opsgauge.operators.periods import Period
+    from opsgauge.plans import contacts
+
+    rng = random.Random(3)
+    rows = [
+        (rng.choice(["a", "b", None]), i, START + timedelta(minutes=rng.randrange(0, 60 * 24 * 60, 7)), rng.choice(["x", None]))
+        for i in range(300)
+    ]
+    logs = spark.createDataFrame(rows, "installation_number string, comm_log_number bigint, creation_date timestamp, code_key_two string")
+    logs = logs.withColumns({
+        "creation_date_hour": F.col("creation_date"), "creation_id": F.lit("7"), "code_key_one": F.lit("o"), "code_key_three": F.lit("t"),
+        "creation_source": F.lit(contacts.V.CONTACT_SOURCES[0]), "creation_media": F.lit(contacts.V.CONTACT_MEDIA[0]),
+        "creation_direction": F.lit(contacts.V.CONTACT_DIRECTION), "country": F.lit(contacts.V.UK),
+    })
+    days = [START + timedelta(days=5 * n) for n in range(contacts.GROUP + 2)]
+    periods = [Period(f"P{n}", d.strftime("%Y-%m-%d"), d.strftime("%Y-%m-%d")) for n, d in enumerate(days)]
+    flags = lambda p: contacts.contact_flags(contacts.counted_contacts(logs, p), HOUR_US, 48 * HOUR_US)
+    got = flags(periods)
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert key(got) == sorted((r for p in periods for r in key(flags([p]))), key=repr) != []
+    keys = re.findall(r"hashpartitioning\((.*?), \d+\)", got._jdf.queryExecution().executedPlan().toString())
+    assert keys and not any("period" in k for k in keys)
