@@ -139,3 +139,11 @@ def test_place_in_group_deals_rows_once(spark, sf_dir):
     # one that deduplicates, one within slots, one over slots
     assert len(re.findall(r"\bWindow \[", text)) == 3
     assert text.count("Scan parquet") == 1 and "ReusedExchange" in text
+
+
+def test_field_retention_deals_visits_once(spark, sf_dir):
+    """Visits go to the slots of their code, not to (code, installation) before; a hot pair is spread."""
+    text = final_plan(QUERIES["K19_field_retention"](spark, sf_dir))
+    dealt = re.findall(r"[-:] Exchange hashpartitioning\((.*?), \d+\)", text)
+    assert not [k for k in dealt if "code_maintenance_ibs" in k and "installation_number" in k]
+    assert len([k for k in dealt if re.match(r"_k0#\d+, _n0#\d+, _slot#", k)]) == 1
